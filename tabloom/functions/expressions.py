@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import zlib
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -36,6 +37,11 @@ def order_key(seed: int, *ids: Column | str) -> Column:
     return F.md5(F.concat_ws(":", F.lit(str(seed)), *[as_column(i).cast("string") for i in ids]))
 
 
+def derived_seed(seed: int, purpose: str) -> int:
+    """A seed of its own for a nested split, so that splits within splits stay independent."""
+    return zlib.crc32(f"{purpose}:{seed}".encode())
+
+
 def uniform_hash(seed: int, *ids: Column | str) -> Column:
     """A reproducible number in [0, 1) per row and seed."""
     head = F.conv(F.substring(order_key(seed, *ids), 1, 8), 16, 10).cast("double")

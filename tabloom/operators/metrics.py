@@ -109,6 +109,10 @@ def binary_metrics(df: DataFrame, label: Column | str, prediction: Column | str,
         F.count_if(~p & y).alias("fn"),
         F.count_if(~p & ~y).alias("tn"),
     )
+    return _binary_rates(counts, by)
+
+
+def _binary_rates(counts: DataFrame, by: Sequence[str]) -> DataFrame:
     tp, fp, fn, tn = (F.col(c) for c in ("tp", "fp", "fn", "tn"))
     total = tp + fp + fn + tn
     rated = counts.withColumns(
@@ -118,6 +122,16 @@ def binary_metrics(df: DataFrame, label: Column | str, prediction: Column | str,
     return rated.select(*by, "tp", "fp", "fn", "tn", *METRICS)
 
 
+def _binary_from_counts(counts: DataFrame, by: Sequence[str], positive: str) -> DataFrame:
+    y, p = F.col("label") == F.lit(positive), F.col("prediction") == F.lit(positive)
+
+    def total(condition: Column) -> Column:
+        return F.coalesce(F.sum(F.when(condition, F.col("n"))), F.lit(0))
+
+    sides = {"tp": p & y, "fp": p & ~y, "fn": ~p & y, "tn": ~p & ~y}
+    return _binary_rates(counts.groupBy(*by).agg(*[total(c).alias(k) for k, c in sides.items()]), by)
+
+
 def binary_metrics_scores(
     df: DataFrame, label: str, score: Column | str, threshold: float = 0.5, by: Sequence[str] = ()
 ) -> DataFrame:
@@ -154,8 +168,15 @@ def class_metrics(counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     return rated.withColumn("f1", _f1(F.col("precision"), F.col("recall")))
 
 
-def averaged_metrics(counts: DataFrame, by: Sequence[str] = (), weighted: bool = True) -> DataFrame:
-    """The seven metrics per group, averaged over classes by support or equally."""
+def averaged_metrics(
+    counts: DataFrame, by: Sequence[str] = (), weighted: bool = True, positive: str | None = None
+) -> DataFrame:
+    """The seven metrics per group, averaged over classes by support or equally.
+
+    With ``positive`` the binary metrics of that class are given instead.
+    """
+    if positive is not None:
+        return _binary_from_counts(counts, by, positive).select(*by, *METRICS)
     rates = class_metrics(counts, by)
     total = F.sum("support")
 
@@ -180,10 +201,7 @@ def multiclass_metrics(
     positive: str | None = None,
 ) -> DataFrame:
     """Metrics of any labels; with two classes and ``positive`` the binary definition is used."""
-    if positive is not None:
-        p = as_column(prediction).cast("string") == F.lit(positive)
-        return binary_metrics(df, F.col(label).cast("string") == F.lit(positive), p, by).select(*by, *METRICS)
-    return averaged_metrics(confusion_counts(df, label, prediction, by, classes), by, weighted)
+    return averaged_metrics(confusion_counts(df, label, prediction, by, classes), by, weighted, positive)
 
 
 def multiclass_metrics_scores(

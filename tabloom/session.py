@@ -58,3 +58,16 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     """A fresh folder next to the checkpoints, for tables that are written and read back."""
     ensure_checkpoint_dir(spark)
     return f"{spark.sparkContext.getCheckpointDir().rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def compact_partitions(rows: int, width: int, values_per_partition: int = 2_000_000) -> int:
+    """How many partitions ``compact`` leaves at most."""
+    return max(1, -(-rows * max(width, 1) // values_per_partition))
+
+
+def compact(df: DataFrame, rows: int, width: int) -> DataFrame:
+    """Fewer partitions for small inputs of iterative fits, whose cost is one job per step.
+
+    Large inputs keep their partitions: coalescing never adds any and moves no rows.
+    """
+    return df.coalesce(compact_partitions(rows, width))
