@@ -195,7 +195,7 @@ def _block_search(k: int):
         take = min(k, len(train))
         norms = (t**2).sum(axis=1)
         picked_q, picked_t, picked_d = [], [], []
-        step = max(1, 20_000_000 // max(len(train), 1))
+        step = max(1, 5_000_000 // max(len(train), 1))
         for start in range(0, len(q), step):
             part = q[start : start + step]
             squares = (part**2).sum(axis=1)

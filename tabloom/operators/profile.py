@@ -22,13 +22,15 @@ from tabloom.functions.expressions import (
     valid_or_null,
 )
 from tabloom.operators.columns import find_column, find_columns, numeric_columns
-from tabloom.operators.quantiles import exact_quantiles
+from tabloom.operators.quantiles import exact_quantiles, null_safe_join
 from tabloom.operators.scaling import impute_mean, sample_columns
 
 # Name parts of representative features.
 SPECTRAL_SAMPLE = ("centroid", "bandwidth", "rolloff", "contrast")
 COMPARED_FEATURES = ("mfcc_mean", "centroid_mean", "bandwidth_mean", "zcr")
 
+FEW_GROUPS = 10_000  # groups whose statistics may be broadcast
+
 
 def _to_rows(one_row: DataFrame, names: Sequence[str], fields: Sequence[str], key: str) -> DataFrame:
     """Turn one wide row ``<field>_<i>`` into one row per name."""
@@ -265,16 +267,22 @@ def box_summary(
     )
     reach = F.lit(float(whisker)) * (F.col("q3") - F.col("q1"))
     fenced = quartiles.withColumns({"_lo": F.col("q1") - reach, "_hi": F.col("q3") + reach})
-    # values are counted together first, so a hot group reaches the join as its distinct values
-    distinct = long.groupBy(*keys, "v").agg(F.count("*").alias("c"))
+    groups = fenced.limit(FEW_GROUPS + 1).collect()
+    if len(groups) <= FEW_GROUPS:
+        # few groups: their fences go to the rows, which stay where they are
+        fenced = F.broadcast(df.sparkSession.createDataFrame(groups, fenced.schema))
+    else:
+        # many groups: equal values are counted together first, so a hot group is its distinct values
+        long = long.groupBy(*keys, "v").agg(F.count("*").alias("c"))
+    counted = F.col("c") if "c" in long.columns else F.lit(1)
     inside = F.col("v").between(F.col("_lo"), F.col("_hi"))
     return (
-        distinct.join(fenced, keys)
+        null_safe_join(long, fenced, keys)
         .groupBy(*keys, "n", "q1", "median", "q3")
         .agg(
             F.min(F.when(inside, F.col("v"))).alias("whisker_low"),
             F.max(F.when(inside, F.col("v"))).alias("whisker_high"),
-            F.coalesce(F.sum(F.when(~inside, F.col("c"))), F.lit(0)).alias("n_outliers"),
+            F.coalesce(F.sum(F.when(~inside, counted)), F.lit(0)).cast("long").alias("n_outliers"),
         )
         .select(*keys, "n", "whisker_low", "q1", "median", "q3", "whisker_high", "n_outliers")
     )

@@ -123,7 +123,8 @@ def labelled_split(
     df: DataFrame, key: str, metric: str, test: float = 0.2, classes: int = 3, seed: int = 0, approx: bool = False
 ) -> tuple[DataFrame, DataFrame]:
     """Hold out rows and label both parts by quantiles of the training part."""
-    marked = keep(holdout(df.where(F.col(metric).isNotNull()), key, test, seed))
+    # kept once: the split and the quantiles scan it several times, and so do the fits
+    marked = holdout(keep(df.where(F.col(metric).isNotNull())), key, test, seed)
     labelled = quantile_label(marked, metric, classes, marked.where("split = 'train'"), approx=approx)
     return labelled.where("split = 'train'").drop("split"), labelled.where("split = 'test'").drop("split")
 

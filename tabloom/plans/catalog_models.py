@@ -225,7 +225,7 @@ def discriminant_scores(spark, folder):
 
 @query()
 def kmeans_sizes(spark, folder):
-    df = features(spark, folder, F.monotonically_increasing_id().alias("row"))
+    df = features(spark, folder, F.concat_ws("-", "l_orderkey", "l_linenumber").alias("row"))
     scaled = ZScore.fit(df, df.columns[1:], 1e-10).transform(df)
     assembled = VectorAssembler(inputCols=df.columns[1:], outputCol="features").transform(scaled)
     return D.kmeans_report(assembled, "row", k=8, max_iter=200, seed=SEED)["sizes"]
@@ -267,7 +267,7 @@ def documents_by_quality(spark, folder) -> tuple[DataFrame, DataFrame, list[str]
 
 
 def _held_documents(df):
-    df = keep(X.holdout(df.withColumn("features", array_to_vector("_x")).drop("_x"), "doc_id", 0.2, SEED))
+    df = X.holdout(keep(df.withColumn("features", array_to_vector("_x")).drop("_x")), "doc_id", 0.2, SEED)
     classes = [r[0] for r in df.select("label").distinct().orderBy("label").collect()]
     df = V.with_class_index(df, "label", classes, "y")
     return df.where("split = 'train'").drop("split"), df.where("split = 'test'").drop("split"), classes
