@@ -49,9 +49,18 @@ def uniform_hash(seed: int, *ids: Column | str) -> Column:
 
 
 def parse_date(column: Column | str, formats: Sequence[str] = DATE_FORMATS) -> Column:
-    """The first layout that parses wins; null when none does."""
+    """The first layout that parses wins; null when none does.
+
+    A layout is tried only on texts of its shape, since a failed parse is far dearer than a
+    pattern test. Months and days may have one or two digits.
+    """
     text = as_column(column).cast("string")
-    return F.coalesce(*[F.try_to_timestamp(text, F.lit(f)).cast("date") for f in formats])
+    tries = []
+    for f in formats:
+        shape = "^" + f.replace("yyyy", r"\d{4}").replace("MM", r"\d{1,2}").replace("dd", r"\d{1,2}") + "$"
+        loose = f.replace("MM", "M").replace("dd", "d")
+        tries.append(F.when(text.rlike(shape), F.try_to_timestamp(text, F.lit(loose)).cast("date")))
+    return F.coalesce(*tries)
 
 
 def missing_to_null(column: Column | str, tokens: Sequence[str] = MISSING_TOKENS) -> Column:

@@ -55,7 +55,7 @@ class SquaredHinge(Estimator):
 
 
 def _pass(
-    data: DataFrame, weights: np.ndarray, intercepts: np.ndarray, positives: np.ndarray, parts: int
+    data: DataFrame, weights: np.ndarray, intercepts: np.ndarray, positives: np.ndarray, parts: int | None
 ) -> np.ndarray:
     """Per class: summed loss, then the gradient by weight and by intercept."""
     count, width = weights.shape
@@ -79,7 +79,7 @@ def _pass(
         yield pyarrow.RecordBatch.from_arrays([flat], ["v"])
 
     flat_sums = data.mapInArrow(partial, "v array<double>")
-    if parts * count * (width + 2) <= DIRECT:
+    if parts is not None and parts * count * (width + 2) <= DIRECT:
         return sum(np.array(r["v"]) for r in flat_sums.collect()).reshape(count, width + 2)
     sums = flat_sums.select(array_to_vector("v").alias("v"))
     if count * (width + 2) > WIDE:

@@ -15,8 +15,9 @@ from pyspark.sql import functions as F
 
 from tabloom.functions.expressions import as_column, order_key
 
-PREFIX_STEP = 3  # hex digits added per counting pass: 4,096 counters
-RANK_LIMIT = 1_000_000  # rows ranked together in the last pass
+FIRST_PREFIX = 2  # hex digits of the first counting pass: 256 counters per stratum
+PREFIX_STEP = 3  # hex digits added by every further pass: 4,096 counters per wanted rank
+RANK_LIMIT = 100_000  # rows ranked together in the last pass
 
 
 def stratum_text(strata: Sequence[Column | str]) -> Column:
@@ -40,22 +41,28 @@ def cut_keys(
     per stratum and rank; strata are class labels.
     """
     rows = df.select(stratum_text(strata).alias("_s"), order_key(seed, *ids).alias("_k"))
-    sizes = {r["_s"]: r["n"] for r in rows.groupBy("_s").agg(F.count("*").alias("n")).collect()}
-    cuts = {s: [""] * len(ranks_of(n)) for s, n in sizes.items()}
-    # (stratum, position) -> (prefix, rank within the prefix, rows with the prefix)
-    wanted = {(s, i): ("", r, n) for s, n in sizes.items() for i, r in enumerate(ranks_of(n)) if r > 0}
+    counted = rows.groupBy("_s", F.substring("_k", 1, FIRST_PREFIX).alias("_p")).agg(F.count("*").alias("n"))
+    buckets: dict[str, list[tuple[str, int]]] = {}
+    for r in counted.collect():
+        buckets.setdefault(r["_s"], []).append((r["_p"], r["n"]))
+    cuts, wanted = {}, {}
+    # wanted: (stratum, position) -> (prefix, rank within the prefix, rows with the prefix)
+    for stratum, listed in buckets.items():
+        ranks = ranks_of(sum(n for _, n in listed))
+        cuts[stratum] = [""] * len(ranks)
+        for i, rank in enumerate(ranks):
+            if rank > 0:
+                wanted[stratum, i] = _bucket_of(rank, sorted(listed))
     if not wanted:
         return cuts
     spark = df.sparkSession
-    digits = 0
+    digits = FIRST_PREFIX
 
     def with_prefix(length: int) -> DataFrame:
         """Rows that share a prefix with a wanted rank; the prefix table has one row per cut."""
-        tagged = rows.withColumn("_p", F.substring("_k", 1, length) if length else F.lit(""))
-        if length == 0 and len({s for s, _ in wanted}) == len(sizes):
-            return tagged
         prefixes = sorted({(s, p) for (s, _), (p, _, _) in wanted.items()})
-        return tagged.join(F.broadcast(spark.createDataFrame(prefixes, "_s string, _p string")), ["_s", "_p"])
+        table = F.broadcast(spark.createDataFrame(prefixes, "_s string, _p string"))
+        return rows.withColumn("_p", F.substring("_k", 1, length)).join(table, ["_s", "_p"])
 
     def targets() -> DataFrame:
         listed = [(s, p, i, r) for (s, i), (p, r, _) in wanted.items()]
@@ -93,6 +100,16 @@ def cut_keys(
     return cuts
 
 
+def _bucket_of(rank: int, listed: Sequence[tuple[str, int]]) -> tuple[str, int, int]:
+    """The prefix that holds a rank, the rank within it and its rows; ``listed`` is sorted."""
+    before = 0
+    for prefix, n in listed:
+        if rank <= before + n:
+            return prefix, rank - before, n
+        before += n
+    raise ValueError("rank beyond the rows")
+
+
 def cuts_passed(
     df: DataFrame,
     ids: Sequence[str],

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabloom.functions.blocks import vector_map
+from tabloom.session import compact, keep
 
 
 class PrincipalComponents(Estimator):
@@ -150,23 +151,33 @@ def points_by_class(df: DataFrame, scores: str, label: str) -> DataFrame:
 
 
 def kmeans_report(
-    df: DataFrame, key: str, features: str = "features", k: int = 8, max_iter: int = 200, seed: int = 0
+    df: DataFrame,
+    key: str,
+    features: str = "features",
+    k: int = 8,
+    max_iter: int = 200,
+    seed: int = 0,
+    project: bool = True,
 ) -> dict[str, DataFrame]:
     """Clusters of a prepared matrix: fit summary, sizes with shares, and a 2-D projection."""
-    model = KMeans(k=k, maxIter=max_iter, seed=seed, featuresCol=features, predictionCol="cluster").fit(df)
-    rows, summary = model.summary.clusterSizes, model.summary
-    total = sum(rows)
+    width = df.select(features).first()[0].size
+    rows = keep(compact(df.select(features), df.count(), width))
+    model = KMeans(k=k, maxIter=max_iter, seed=seed, featuresCol=features, predictionCol="cluster").fit(rows)
+    found, summary = model.summary.clusterSizes, model.summary
+    total = sum(found)
     spark = df.sparkSession
-    sizes = [(i, int(n), 100.0 * n / total if total else 0.0) for i, n in enumerate(rows)]
+    sizes = [(i, int(n), 100.0 * n / total if total else 0.0) for i, n in enumerate(found)]
     fit = [(bool(summary.numIter < max_iter), int(summary.numIter), float(summary.trainingCost))]
-    assigned = model.transform(df)
-    projected = PrincipalComponents(features, "_p", k=2).fit(df).transform(assigned)
-    p = vector_to_array("_p")
-    return {
+    report = {
         "fit": spark.createDataFrame(fit, "converged boolean, iterations int, cost double"),
         "sizes": spark.createDataFrame(sizes, "cluster int, n bigint, pct double"),
-        "points": projected.select(key, "cluster", p[0].alias("pc1"), p[1].alias("pc2")),
     }
+    if project:
+        projected = PrincipalComponents(features, "_p", k=2).fit(rows).transform(model.transform(df))
+        p = vector_to_array("_p")
+        report["points"] = projected.select(key, "cluster", p[0].alias("pc1"), p[1].alias("pc2"))
+    rows.unpersist()
+    return report
 
 
 def reduce_features(

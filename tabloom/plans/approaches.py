@@ -27,7 +27,7 @@ from tabloom.plans.evaluation import (
     stack_candidates,
     with_class_index,
 )
-from tabloom.session import keep
+from tabloom.session import compact, keep
 
 # The searched settings per model family.
 ANN_CONFIGS = tuple(
@@ -164,14 +164,17 @@ def run_approach(
 ) -> ApproachResult:
     """Search every family, stack the best, and evaluate the best of each family on the test part."""
     spark = train.sparkSession
-    classes = [r[0] for r in train.select(F.col(label).cast("string")).distinct().orderBy(label).collect()]
+    sizes = {r[0]: r[1] for r in train.groupBy(F.col(label).cast("string")).count().collect()}
+    classes, rows = sorted(c for c in sizes if c is not None), sum(sizes.values())
     train, test, preparation = prepare(train, test, inputs, label, approach)
     columns = Columns(len(classes), key, "features", "_y", seed)
 
     def indexed(df: DataFrame) -> DataFrame:
         return with_class_index(df, label, classes, "_y").select(key, "features", label, "_y")
 
-    train, test = keep(stratified_kfold(indexed(train), key, label, approach.folds, derived_seed(seed, "folds"))), keep(indexed(test))
+    base = keep(compact(indexed(train), rows, len(inputs)))
+    train = keep(stratified_kfold(base, key, label, approach.folds, derived_seed(seed, "folds")))
+    test = keep(indexed(test))
     configs = [(family, dict(s)) for family, listed in grids.items() for s in listed]
     report = keep(
         cross_validate(train, configs, columns, classes, "fold", parallelism, positive=approach.positive)
@@ -187,8 +190,8 @@ def run_approach(
             settings={"bases": dict(bases)}, positive=approach.positive,
         ).withColumn("approach", F.lit(approach.name))
     result = test_report(train.drop("fold"), test, chosen, columns, classes, approach)
-    train.unpersist()
-    test.unpersist()
+    for cached in (base, train, test):
+        cached.unpersist()
     return ApproachResult(report, best, stack, result, preparation, chosen)
 
 

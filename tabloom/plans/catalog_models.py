@@ -22,7 +22,7 @@ from tabloom.plans import approaches as A
 from tabloom.plans import evaluation as V
 from tabloom.plans import report as RP
 from tabloom.plans.catalog import SEED, features, held_orders, query, rounded, table
-from tabloom.session import keep, shared_folder
+from tabloom.session import compact, keep, shared_folder
 from tabloom.sources import delimited as SRC
 
 # --- sources -------------------------------------------------------------------------------
@@ -228,7 +228,7 @@ def kmeans_sizes(spark, folder):
     df = features(spark, folder, F.concat_ws("-", "l_orderkey", "l_linenumber").alias("row"))
     scaled = ZScore.fit(df, df.columns[1:], 1e-10).transform(df)
     assembled = VectorAssembler(inputCols=df.columns[1:], outputCol="features").transform(scaled)
-    return D.kmeans_report(assembled, "row", k=8, max_iter=200, seed=SEED)["sizes"]
+    return D.kmeans_report(assembled, "row", k=8, max_iter=200, seed=SEED, project=False)["sizes"]
 
 
 @query()
@@ -520,6 +520,7 @@ def flagship(spark, folder):
     classes = ["High", "Low", "Medium"]
     train, test, _ = A.prepare(train, test, inputs, "label", A.APPROACHES["reduced"])
     train, test = (V.with_class_index(d, "label", classes, "y") for d in (train, test))
+    train = compact(train.select("features", "y"), train.count(), len(inputs))
     tree = get_model("DT", {"max_depth": 7, "min_samples_leaf": 20}, Columns(3, "row", "features", "y", SEED))
     scored = tree.fit(train).transform(test)
     return multiclass_metrics(scored, "label", V.class_name(F.col("prediction"), classes))

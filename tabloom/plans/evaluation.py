@@ -84,11 +84,12 @@ def fold_counts(
     own seeds, and its validation share is rescaled from the table to the training part.
     """
     needed = [columns.key, columns.features, columns.label, fold]
-    data = df.select(*[c for c in dict.fromkeys(needed) if c in df.columns])
+    data = df if df.is_cached else df.select(*dict.fromkeys(needed))
     sizes = {r[fold]: r["count"] for r in data.groupBy(fold).count().collect()}
     total = sum(sizes.values())
     width = data.select(columns.features).first()[0].size
-    data = keep(compact(data, total, width))
+    if not df.is_cached:
+        data = keep(compact(data, total, width))
 
     def one(index: int, family: str, settings: Mapping, k: int, execution: int) -> Callable[[], list[tuple]]:
         def task():
@@ -111,7 +112,8 @@ def fold_counts(
         for execution in range(settings.get("executions", 1) if MODEL_NAMES.get(family) == "ANN" else 1)
     ]
     rows = [r for part in run_parallel(tasks, parallelism, df.sparkSession) for r in part]
-    data.unpersist()
+    if not df.is_cached:
+        data.unpersist()
     return df.sparkSession.createDataFrame(rows, COUNTS)
 
 

@@ -60,14 +60,21 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{spark.sparkContext.getCheckpointDir().rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def compact_partitions(rows: int, width: int, values_per_partition: int = 2_000_000) -> int:
-    """How many partitions ``compact`` leaves at most."""
-    return max(1, -(-rows * max(width, 1) // values_per_partition))
+SMALL_VALUES = 200_000_000  # numbers in an input that is cheap to deal out again
+VALUES_PER_PARTITION = 500_000
+
+
+def compact_partitions(rows: int, width: int) -> int | None:
+    """Partitions for a small input of an iterative fit; None for an input to be left as it is."""
+    values = rows * max(width, 1)
+    return max(1, -(-values // VALUES_PER_PARTITION)) if values <= SMALL_VALUES else None
 
 
 def compact(df: DataFrame, rows: int, width: int) -> DataFrame:
-    """Fewer partitions for small inputs of iterative fits, whose cost is one job per step.
+    """Deal a small input out evenly over as few partitions as it needs.
 
-    Large inputs keep their partitions: coalescing never adds any and moves no rows.
+    Every step of an iterative fit is a job, so a small input should neither sit in hundreds of
+    tiny partitions nor in one that a single-file scan gave. Large inputs are not moved.
     """
-    return df.coalesce(compact_partitions(rows, width))
+    parts = compact_partitions(rows, width)
+    return df if parts is None else df.repartition(parts)
