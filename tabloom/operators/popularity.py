@@ -29,9 +29,8 @@ def popularity_metrics(df: DataFrame, patterns: Sequence[str] = POPULARITY_PATTE
 
 def popularity_histogram(df: DataFrame, column: str, bins: int = 50, min_rows: int = 100) -> DataFrame:
     """Histogram of log10(v + 1); empty unless more than ``min_rows`` values are valid."""
-    valid = df.where(is_valid(column))
-    enough = valid.agg(F.count("*") > min_rows).scalar()
-    return histogram(valid.select(log_popularity(column).alias("_l")), "_l", bins).where(enough)
+    logs = df.where(is_valid(column)).select(log_popularity(column).alias("_l"))
+    return histogram(logs, "_l", bins, min_rows=min_rows)
 
 
 def popularity_by_category(
@@ -106,9 +105,11 @@ def popularity_by_minutes(
     minute = F.when(usable & (d >= first) & (d < last), F.floor(d / 60)).cast("int")
     binned = (
         df.where(is_valid(duration) & is_valid(column))
-        .groupBy(minute.alias("minute"), usable.alias("_usable"))
-        .agg(F.avg(valid_or_null(column)).alias("mean_popularity"), F.count("*").alias("n"))
+        .select(minute.alias("_minute"), usable.alias("_usable"), valid_or_null(column).alias("_p"))
+        .groupBy("_minute", "_usable")
+        .agg(F.max("_minute").alias("minute"), F.avg("_p").alias("mean_popularity"), F.count("*").alias("n"))
     )
+    # filtering by an aggregate's value keeps the gate on the same shuffled counts: one scan
     gate = binned.agg(
         (F.sum("n") >= min_rows) & (F.sum(F.when(F.col("_usable"), F.col("n"))) > min_usable)
     ).scalar()

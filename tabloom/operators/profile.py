@@ -93,15 +93,17 @@ def yearly_counts(df: DataFrame, column: str, min_rows: int = 100, min_years: in
     """
     kind = df.schema[column].dataType
     day = parse_date(column) if isinstance(kind, T.StringType) else F.col(column).cast("date")
+    # null years are dropped by an aggregate's value, a filter that cannot sink below the grouping:
+    # the gate then reads the same shuffled counts and the table is scanned once
     years = (
         df.where(F.col(column).isNotNull())
-        .groupBy(F.year(day).alias("year"))
-        .agg(F.count("*").alias("n"))
+        .select(F.year(day).alias("_year"))
+        .groupBy("_year")
+        .agg(F.max("_year").alias("year"), F.count("*").alias("n"))
     )
-    # the gates look at the few yearly rows, not at the table again
     gates = years.agg(F.sum("n").alias("rows"), F.count("year").alias("years"))
     open_ = gates.select((F.col("rows") > min_rows) & (F.col("years") >= min_years)).scalar()
-    return years.where(F.col("year").isNotNull() & open_).orderBy("year")
+    return years.where(F.col("year").isNotNull() & open_).select("year", "n").orderBy("year")
 
 
 def temporal_report(df: DataFrame, created: str = "track_date_created") -> dict[str, DataFrame]:
@@ -195,15 +197,22 @@ def group_ranges(statistics: DataFrame) -> DataFrame:
 # --- histograms and boxes ------------------------------------------------------------------
 
 
-def histogram(df: DataFrame, column: Column | str, bins: int = 50, below: float | None = None) -> DataFrame:
-    """Equal-width bins over the range of valid values: ``bin, low, high, n``; empty bins are absent."""
+def histogram(
+    df: DataFrame, column: Column | str, bins: int = 50, below: float | None = None, min_rows: int = 0
+) -> DataFrame:
+    """Equal-width bins over the range of valid values: ``bin, low, high, n``; empty bins are absent.
+
+    With ``min_rows`` there are no bins at all unless more values than that are valid.
+    """
     rows = df.select(valid_or_null(as_column(column)).alias("_v")).where("_v is not null")
     if below is not None:
         rows = rows.where(F.col("_v") < F.lit(float(below)))
-    span = rows.agg(F.struct(F.min("_v").alias("lo"), F.max("_v").alias("hi"))).scalar()
+    span = rows.agg(F.struct(F.min("_v").alias("lo"), F.max("_v").alias("hi"), F.count("_v").alias("n"))).scalar()
     lo, hi = span["lo"], span["hi"]
     counted = rows.groupBy(equal_width_bin("_v", lo, hi, bins).alias("bin")).agg(F.count("*").alias("n"))
     width = (hi - lo) / F.lit(float(bins))
+    if min_rows:
+        counted = counted.where(span["n"] > min_rows)
     return counted.select(
         "bin", (lo + F.col("bin") * width).alias("low"), (lo + (F.col("bin") + 1) * width).alias("high"), "n"
     )

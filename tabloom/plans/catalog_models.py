@@ -501,7 +501,24 @@ def stacking(spark, folder):
     return model.transform(test).select("doc_id", "label", V.class_name(F.col("prediction"), classes).alias("prediction"))
 
 
-def _experiment(spark, folder):
+@query()
+def bagging_cv(spark, folder):
+    """A bagged tree per fold, its size tuned inside the fold."""
+    df, classes, columns = _folded(documents_by_language)(spark, folder)
+    return V.cross_validate_ensemble(
+        df, "Bagging", lambda c: V.Bagging("DT", {"max_depth": 5}, c, sizes=(2, 4)), columns, classes
+    )
+
+
+@query()
+def stacking_cv(spark, folder):
+    """A stack per fold."""
+    df, classes, columns = _folded(documents_by_language)(spark, folder)
+    bases = [("DT", {"max_depth": 7, "min_samples_leaf": 20}), ("KNN", {"n_neighbors": 7})]
+    return V.cross_validate_ensemble(df, "Stack", lambda c: V.Stacking(bases, c), columns, classes)
+
+
+def _experiment(spark, folder, classes=3):
     """Line items joined to their parts, labelled by price quantiles of the training rows."""
     lines = table(spark, folder, "lineitem").withColumn(
         "row", F.md5(F.concat_ws("|", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice"))
@@ -510,7 +527,7 @@ def _experiment(spark, folder):
         "row", "l_quantity", "l_discount", "l_tax", F.col("p_size").cast("double").alias("p_size"), "p_retailprice", "l_extendedprice"
     )
     inputs = ["l_quantity", "l_discount", "l_tax", "p_size", "p_retailprice"]
-    return A.labelled_split(joined, "row", "l_extendedprice", 0.2, 3, SEED), inputs
+    return A.labelled_split(joined, "row", "l_extendedprice", 0.2, classes, SEED), inputs
 
 
 @query()
@@ -540,3 +557,11 @@ def approach_lda(spark, folder):
     (train, test), inputs = _experiment(spark, folder)
     grids = {"DT": ({"max_depth": 7, "min_samples_leaf": 20},)}
     return A.run_approach(train, test, "row", inputs, "label", A.APPROACHES["lda"], grids, SEED, 4).test
+
+
+@query()
+def approach_pca(spark, folder):
+    """The two-class component experiment on a small grid."""
+    (train, test), inputs = _experiment(spark, folder, 2)
+    grids = {"DT": ({"max_depth": 7, "min_samples_leaf": 20},), "SVM": ({"kernel": "linear", "cost": 0.1},)}
+    return A.run_approach(train, test, "row", inputs, "label", A.APPROACHES["binary_pca"], grids, SEED, 4).test

@@ -24,10 +24,12 @@ from tabloom.functions.expressions import argmax_index, derived_seed, uniform_ha
 from tabloom.models.registry import MODEL_NAMES, Columns, get_model
 from tabloom.operators.metrics import METRICS, averaged_metrics, confusion_matrix, fold_summary, log_loss
 from tabloom.operators.splits import holdout
-from tabloom.session import compact, keep
+from tabloom.session import compact, cut_lineage, keep
 
 COUNTS = "family string, config_index int, config string, fold int, execution int, label string, prediction string, n bigint"
 
+PLAN_MODELS = 25  # fitted models applied within one plan
+
 # Tuned settings and their five grid points.
 TUNING_GRIDS = {
     "SVC": ("cost", tuple(10 ** (-1 + i / 2) for i in range(5))),
@@ -250,7 +252,8 @@ class Bagging(Estimator):
             total = _summed(held.select(c.key, c.features, c.label), [], c, None)
             done = 0
             for n in self.sizes:
-                total = _summed(total, models[done:n], c, "_p")
+                # the sums so far are written out, so the plan never holds more than one step's models
+                total = cut_lineage(_summed(total, models[done:n], c, "_p"))
                 done = n
                 mean = total.withColumn("_mean", F.transform("_p", lambda p: p / F.lit(float(n))))
                 losses.append((n, log_loss(mean, c.label, "_mean").first()[0]))
@@ -276,7 +279,11 @@ class BaggingModel(Model):
 
     def _transform(self, df: DataFrame) -> DataFrame:
         c, n = self.columns, float(len(self.models))
-        summed = _summed(_summed(df, [], c, None), self.models, c, "_p")
+        summed = _summed(df, [], c, None)
+        for start in range(0, len(self.models), PLAN_MODELS):
+            if start:
+                summed = cut_lineage(summed)
+            summed = _summed(summed, self.models[start : start + PLAN_MODELS], c, "_p")
         mean = summed.withColumn("_p", F.transform("_p", lambda p: p / F.lit(n)))
         scored = mean.withColumn("probability", array_to_vector("_p"))
         return scored.withColumn("prediction", argmax_index("_p").cast("double")).drop("_p")
