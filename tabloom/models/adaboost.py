@@ -1,37 +1,39 @@
 """AdaBoost on decision stumps for any number of classes (SAMME).
 
-Each round fits a Spark decision tree of depth one on weighted rows. Row weights are a column
-expression of the stumps found so far, so every round reads the same cached input and no
-chain of derived tables builds up.
+Features are cut into a few dozen bins once. A round is one pass over the binned rows: it
+recomputes each row's weight from the stumps found so far and adds up weight by feature, bin
+and class. The best stump and its exact weighted error follow from that small table on the
+driver. Rows never carry state from round to round, so nothing has to be checkpointed.
 """
 
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
+import numpy as np
 from pyspark.ml import Estimator, Model
-from pyspark.ml.classification import DecisionTreeClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tabloom.functions.blocks import summed
 from tabloom.functions.expressions import argmax_index
-from tabloom.session import compact, keep
+from tabloom.session import compact, compact_partitions, keep
+
+BINS = 32  # candidate cuts per feature, as in Spark's trees
 
 
 @dataclass(frozen=True)
 class Stump:
+    """Class ``left`` where the feature is at most the threshold, else ``right``."""
+
     feature: int
+    bin: int
     threshold: float
-    left: float
-    right: float
-    weight: float
-
-    def prediction(self, x: Column) -> Column:
-        if self.feature < 0:
-            return F.lit(self.left)
-        return F.when(x[self.feature] <= F.lit(self.threshold), F.lit(self.left)).otherwise(F.lit(self.right))
+    left: int
+    right: int
+    weight: float = 1.0
 
 
 class AdaBoost(Estimator):
@@ -41,47 +43,97 @@ class AdaBoost(Estimator):
         self.features, self.label, self.seed = features, label, seed
 
     def _fit(self, df: DataFrame) -> AdaBoostModel:
-        cached = df.select(self.features, F.col(self.label).cast("double").alias(self.label))
-        n, width = cached.count(), cached.select(self.features).first()[0].size
-        cached = keep(compact(cached, n, width))
-        rows = cached.withColumn("_x", vector_to_array(self.features))
+        rows = df.select(vector_to_array(self.features).alias("x"), F.col(self.label).cast("double").alias("y"))
+        n, width = rows.count(), len(rows.select("x").first()["x"])
+        cuts = _cut_points(rows, width)
+        binned = keep(compact(rows, n, width).mapInArrow(_binner(cuts), "b array<tinyint>, y double"))
+        parts = compact_partitions(n, width)
         stumps: list[Stump] = []
         log_total = math.log(max(n, 1))
-        tree = DecisionTreeClassifier(
-            featuresCol=self.features, labelCol=self.label, maxDepth=1, weightCol="_w", seed=self.seed
-        )
-        chance = 1.0 - 1.0 / self.classes
         for _ in range(self.n_estimators):
-            raised = F.lit(0.0)
-            for s in stumps:
-                missed = s.prediction(F.col("_x")) != F.col(self.label)
-                raised = raised + F.when(missed, F.lit(s.weight)).otherwise(F.lit(0.0))
-            weighted = rows.withColumn("_w", F.exp(raised - F.lit(log_total)))
-            found = _stump(tree.fit(weighted))
-            missed = found.prediction(F.col("_x")) != F.col(self.label)
-            sums = weighted.agg(F.sum("_w").alias("all"), F.sum(F.when(missed, F.col("_w")).otherwise(0.0)).alias("bad")).first()
-            error = sums["bad"] / sums["all"]
-            if error >= chance - 1e-12:
+            table = _weights(binned, stumps, log_total, width, self.classes, parts)
+            found, error = _best_stump(table, cuts)
+            if error >= 1.0 - 1.0 / self.classes - 1e-12:
                 if not stumps:
                     stumps.append(found)
                 break
-            error = max(error, 1e-12)
-            weight = self.learning_rate * (math.log((1 - error) / error) + math.log(max(self.classes - 1, 1)))
-            stumps.append(Stump(found.feature, found.threshold, found.left, found.right, weight))
+            share = max(error, 1e-12)
+            weight = self.learning_rate * (math.log((1 - share) / share) + math.log(max(self.classes - 1, 1)))
+            stumps.append(replace(found, weight=weight))
             if error <= 1e-12:
                 break
-            grown = sums["all"] - sums["bad"] + sums["bad"] * math.exp(weight)
-            log_total += math.log(grown)
-        cached.unpersist()
+            # the weights of the next round sum to one again
+            total = table[0].sum()
+            log_total += math.log(total * (1 - error + error * math.exp(weight)))
+        binned.unpersist()
         return AdaBoostModel(tuple(stumps), self.classes, self.features)
 
 
-def _stump(model) -> Stump:
-    root = model._call_java("rootNode")
-    if model.numNodes == 1:
-        return Stump(-1, 0.0, root.prediction(), root.prediction(), 1.0)
-    split = root.split()
-    return Stump(split.featureIndex(), split.threshold(), root.leftChild().prediction(), root.rightChild().prediction(), 1.0)
+def _cut_points(rows: DataFrame, width: int) -> list[np.ndarray]:
+    """Candidate thresholds per feature from one sketch pass; the largest value is no cut."""
+    probs = F.array(*[F.lit(i / BINS) for i in range(1, BINS)])
+    found = rows.agg(
+        *[F.percentile_approx(F.col("x")[i], probs, F.lit(1000)).alias(f"q{i}") for i in range(width)],
+        *[F.max(F.col("x")[i]).alias(f"m{i}") for i in range(width)],
+    ).first()
+    return [np.array(sorted({v for v in found[f"q{i}"] if v < found[f"m{i}"]})) for i in range(width)]
+
+
+def _binner(cuts: list[np.ndarray]):
+    """Bin j holds values above cut j - 1 and at most cut j."""
+
+    def run(batches):
+        import numpy
+        import pyarrow
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            x = batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
+            bins = numpy.empty(x.shape, dtype="int8")
+            for i, c in enumerate(cuts):
+                bins[:, i] = numpy.searchsorted(c, x[:, i], side="left")
+            offsets = numpy.arange(0, bins.size + 1, bins.shape[1], dtype="int32")
+            yield pyarrow.RecordBatch.from_arrays(
+                [pyarrow.ListArray.from_arrays(offsets, bins.ravel()), batch.column(1)], ["b", "y"]
+            )
+
+    return run
+
+
+def _weights(binned, stumps, log_total, width, classes, parts) -> np.ndarray:
+    """Total row weight by feature, bin and class: one pass."""
+    rules = [(s.feature, s.bin, s.left, s.right, s.weight) for s in stumps]
+    bins = BINS
+
+    def add(total, batch):
+        import numpy
+
+        b = batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
+        y = batch.column(1).to_numpy(zero_copy_only=False).astype("int64")
+        raised = numpy.full(len(y), -log_total)
+        for feature, cut, left, right, weight in rules:
+            raised += weight * (numpy.where(b[:, feature] <= cut, left, right) != y)
+        place = (numpy.arange(width) * bins + b) * classes + y[:, None]
+        total += numpy.bincount(place.ravel(), numpy.repeat(numpy.exp(raised), width), minlength=len(total))
+
+    return summed(binned, add, width * bins * classes, parts).reshape(width, bins, classes)
+
+
+def _best_stump(table: np.ndarray, cuts: list[np.ndarray]) -> tuple[Stump, float]:
+    """The stump with the smallest weighted error, the first feature and cut on ties."""
+    total = table[0].sum(axis=0)
+    left = table.cumsum(axis=1)
+    right = total - left
+    error = 1.0 - (left.max(axis=2) + right.max(axis=2)) / total.sum()
+    for i, c in enumerate(cuts):
+        error[i, len(c) :] = np.inf
+    if not np.isfinite(error).any():
+        winner = int(total.argmax())
+        return Stump(0, BINS, math.inf, winner, winner), float(1.0 - total.max() / total.sum())
+    feature, cut = np.unravel_index(np.argmin(error), error.shape)
+    sides = int(left[feature, cut].argmax()), int(right[feature, cut].argmax())
+    return Stump(int(feature), int(cut), float(cuts[feature][cut]), *sides), float(max(error[feature, cut], 0.0))
 
 
 class AdaBoostModel(Model):
@@ -98,9 +150,7 @@ class AdaBoostModel(Model):
             score = F.lit(0.0)
             for s in self.stumps:
                 left, right = (s.weight if side == c else 0.0 for side in (s.left, s.right))
-                if s.feature < 0:
-                    score = score + F.lit(left)
-                elif left or right:
+                if left or right:
                     score = score + F.when(x[s.feature] <= F.lit(s.threshold), F.lit(left)).otherwise(F.lit(right))
             scores.append(score)
         total = F.lit(float(sum(s.weight for s in self.stumps)) or 1.0)

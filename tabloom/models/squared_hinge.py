@@ -15,13 +15,11 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabloom.functions.blocks import per_batch
+from tabloom.functions.blocks import per_batch, summed
 from tabloom.functions.expressions import argmax_index
 from tabloom.session import compact, compact_partitions, keep
 
 MEMORY = 10  # remembered updates per class
-WIDE = 20_000  # sums longer than this are added up in two steps
-DIRECT = 100_000  # up to this many numbers the per-partition sums go to the driver as they are
 
 
 class SquaredHinge(Estimator):
@@ -60,31 +58,19 @@ def _pass(
     """Per class: summed loss, then the gradient by weight and by intercept."""
     count, width = weights.shape
 
-    def partial(batches):
+    def add(total, batch):
         import numpy
-        import pyarrow
 
-        total = numpy.zeros((count, width + 2))
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            x = batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
-            y = numpy.where(batch.column(1).to_numpy(zero_copy_only=False)[:, None] == positives, 1.0, -1.0)
-            short = numpy.maximum(1.0 - y * (x @ weights.T + intercepts), 0.0)
-            push = -2.0 * y * short
-            total[:, 0] += (short**2).sum(axis=0)
-            total[:, 1:-1] += push.T @ x
-            total[:, -1] += push.sum(axis=0)
-        flat = pyarrow.array([total.ravel()], pyarrow.list_(pyarrow.float64()))
-        yield pyarrow.RecordBatch.from_arrays([flat], ["v"])
-
-    flat_sums = data.mapInArrow(partial, "v array<double>")
-    if parts is not None and parts * count * (width + 2) <= DIRECT:
-        return sum(np.array(r["v"]) for r in flat_sums.collect()).reshape(count, width + 2)
-    sums = flat_sums.select(array_to_vector("v").alias("v"))
-    if count * (width + 2) > WIDE:
-        sums = sums.groupBy(F.pmod(F.spark_partition_id(), F.lit(64)).alias("g")).agg(Summarizer.sum(F.col("v")).alias("v"))
-    return sums.agg(Summarizer.sum(F.col("v")).alias("v")).first()["v"].toArray().reshape(count, width + 2)
+        block = total.reshape(count, width + 2)
+        x = batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
+        y = numpy.where(batch.column(1).to_numpy(zero_copy_only=False)[:, None] == positives, 1.0, -1.0)
+        short = numpy.maximum(1.0 - y * (x @ weights.T + intercepts), 0.0)
+        push = -2.0 * y * short
+        block[:, 0] += (short**2).sum(axis=0)
+        block[:, 1:-1] += push.T @ x
+        block[:, -1] += push.sum(axis=0)
+
+    return summed(data, add, count * (width + 2), parts).reshape(count, width + 2)
 
 
 def _minimise(evaluate, points: np.ndarray, max_iter: int, tol: float) -> np.ndarray:

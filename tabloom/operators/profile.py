@@ -22,7 +22,7 @@ from tabloom.functions.expressions import (
     valid_or_null,
 )
 from tabloom.operators.columns import find_column, find_columns, numeric_columns
-from tabloom.operators.quantiles import exact_quantiles, null_safe_join
+from tabloom.operators.quantiles import column_quantiles, exact_quantiles, null_safe_join
 from tabloom.operators.scaling import impute_mean, sample_columns
 
 # Name parts of representative features.
@@ -32,15 +32,6 @@ COMPARED_FEATURES = ("mfcc_mean", "centroid_mean", "bandwidth_mean", "zcr")
 FEW_GROUPS = 10_000  # groups whose statistics may be broadcast
 
 
-def _to_rows(one_row: DataFrame, names: Sequence[str], fields: Sequence[str], key: str) -> DataFrame:
-    """Turn one wide row ``<field>_<i>`` into one row per name."""
-    items = [
-        F.struct(F.lit(name).alias(key), *[F.col(f"{f}_{i}").alias(f) for f in fields])
-        for i, name in enumerate(names)
-    ]
-    return one_row.select(F.explode(F.array(*items)).alias("_r")).select("_r.*")
-
-
 # --- quality -------------------------------------------------------------------------------
 
 
@@ -162,15 +153,16 @@ def feature_statistics(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     }
     values = df.select(*[valid_or_null(c).alias(f"_c{i}") for i, c in enumerate(columns)])
     wide = values.agg(*[f(f"_c{i}").alias(f"{k}_{i}") for k, f in fields.items() for i in range(len(columns))])
-    stats = _to_rows(wide, columns, list(fields), "feature")
-    long = values.select(
-        F.explode(
-            F.array(*[F.struct(F.lit(c).alias("feature"), F.col(f"_c{i}").alias("v")) for i, c in enumerate(columns)])
-        ).alias("_r")
-    ).select("_r.feature", "_r.v")
-    medians = exact_quantiles(long, "v", (0.5,), by=("feature",))
-    joined = stats.join(medians.select("feature", F.col("q")[0].alias("median")), "feature", "left")
-    return joined.select("feature", "mean", "std", "min", "max", "median", "skewness", "kurtosis")
+    medians = column_quantiles(values, values.columns, (0.5,))
+    rows = wide.first()
+    table = [
+        (c, *[None if rows[f"{k}_{i}"] is None else float(rows[f"{k}_{i}"]) for k in fields], medians[f"_c{i}"][0])
+        for i, c in enumerate(columns)
+    ]
+    schema = f"feature string, {', '.join(f'{k} double' for k in fields)}, median double"
+    return df.sparkSession.createDataFrame(table, schema).select(
+        "feature", "mean", "std", "min", "max", "median", "skewness", "kurtosis"
+    )
 
 
 def group_statistics(df: DataFrame, groups: Mapping[str, Sequence[str]]) -> DataFrame:

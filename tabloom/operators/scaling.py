@@ -9,11 +9,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.ml.feature import Imputer, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabloom.functions.expressions import is_valid, valid_or_null
+from tabloom.functions.expressions import valid_or_null
 from tabloom.operators.columns import integers_to_double, numeric_columns
 from tabloom.operators.splits import holdout, sample_columns, sample_rows
 
@@ -88,16 +88,11 @@ def min_max(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def impute_mean(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Null and NaN become the mean of the column's numbers; a column without numbers becomes 0."""
-    doubles = df.select(
-        *[F.col(c).cast("double").alias(c) if c in set(columns) else F.col(c) for c in df.columns]
+    # the means of all columns come from one pass
+    means = _statistics(df, columns, mean=lambda c: F.avg(valid_or_null(c)))["mean"]
+    return _replace(
+        df, {c: F.coalesce(valid_or_null(c), F.lit(float(m if m is not None else 0.0))) for c, m in zip(columns, means)}
     )
-    filled = _statistics(doubles, columns, n=lambda c: F.count_if(is_valid(c)))
-    empty = [c for c, n in zip(columns, filled["n"]) if not n]
-    known = [c for c in columns if c not in empty]
-    result = doubles
-    if known:
-        result = Imputer(strategy="mean", inputCols=known, outputCols=known).fit(doubles).transform(doubles)
-    return _replace(result, {c: F.lit(0.0) for c in empty})
 
 
 def prepared_matrix(

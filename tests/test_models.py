@@ -255,3 +255,31 @@ def test_grids_and_approaches():
         "ANN": 8, "SVM": 8, "DT": 6, "KNN": 6, "RF": 4, "AdaBoost": 4, "CatBoost": 3,
     }
     assert [a.name for a in A.APPROACHES.values()] == ["Binary with Feature Reduction", "Binary with PCA", "LDA", "Feature Reduction"]
+
+
+def test_adaboost_follows_the_definition(spark):
+    """The fitted stumps equal a plain numpy run of the same rounds on all cut points."""
+    rng = np.random.default_rng(4)
+    x = rng.integers(0, 12, (150, 3)).astype(float)
+    y = ((x[:, 0] > 5).astype(int) + (x[:, 1] > 7) + (rng.random(150) < 0.1)).clip(0, 2)
+    fitted = AdaBoost(3, 6, 0.8).fit(frame(spark, x, y).repartition(3))
+    w = np.full(150, 1 / 150)
+    for stump in fitted.stumps:
+        best = np.inf
+        for f in range(3):
+            for cut in np.unique(x[:, f])[:-1]:
+                side = x[:, f] <= cut
+                kept = sum(max(w[part & (y == c)].sum() for c in range(3)) for part in (side, ~side))
+                best = min(best, 1 - kept / w.sum())
+        guess = np.where(x[:, stump.feature] <= stump.threshold, stump.left, stump.right)
+        error = w[guess != y].sum() / w.sum()
+        assert error == pytest.approx(best, abs=1e-9)
+        assert stump.weight == pytest.approx(0.8 * (np.log((1 - error) / error) + np.log(2)))
+        w = w * np.exp(stump.weight * (guess != y))
+        w = w / w.sum()
+    assert len(fitted.stumps) == 6
+
+
+def test_adaboost_without_any_cut(spark):
+    df = frame(spark, np.ones((9, 2)), [0, 0, 0, 0, 0, 1, 1, 1, 1])
+    assert {r["prediction"] for r in AdaBoost(2, 3).fit(df).transform(df).collect()} == {0.0}

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tabloom.operators import splits as X
-from tabloom.operators.quantiles import exact_quantiles
+from tabloom.operators.quantiles import column_quantiles, exact_quantiles
 from tabloom.operators.ranks import cut_keys
 
 
@@ -110,3 +110,23 @@ def test_quantiles_are_exact_on_skewed_data(spark, limit):
 def test_quantiles_of_nothing(spark):
     df = spark.createDataFrame([], "v double")
     assert exact_quantiles(df, "v", (0.5,)).first()["q"] is None
+
+
+@pytest.mark.parametrize("limit", [10, 10_000_000])
+def test_column_quantiles_are_exact(spark, limit):
+    rng = np.random.default_rng(2)
+    hot = np.where(rng.random(4000) < 0.4, 1.5, rng.normal(0, 1, 4000))
+    wide = np.exp(rng.normal(0, 5, 4000))
+    rows = [(float(a), float(b), None, float("nan")) for a, b in zip(hot, wide)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double").repartition(4)
+    probs = (0.0, 0.25, 0.5, 0.75, 1.0)
+    got = column_quantiles(df, df.columns, probs, limit)
+    assert got["a"] == pytest.approx(np.quantile(hot, probs).tolist())
+    assert got["b"] == pytest.approx(np.quantile(wide, probs).tolist())
+    assert got["c"] == got["d"] == [None] * 5
+
+
+def test_sample_columns(spark):
+    names = [f"c{i}" for i in range(20)]
+    chosen = X.sample_columns(names, 5, 1)
+    assert len(chosen) == 5 and chosen == sorted(chosen, key=names.index) and X.sample_columns(names, 50) == names
