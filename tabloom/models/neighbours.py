@@ -105,10 +105,15 @@ class NearestNeighboursModel(Model):
 
         def visited(x):
             """1 for every cell that may hold one of the k nearest rows."""
-            d = np.column_stack([np.sqrt(((x - p) ** 2).sum(axis=1)) for p in pivots])
-            bound = np.partition(d[:, reach_cell] + reach, k - 1, axis=1)[:, k - 1]
-            nearest = np.maximum(np.maximum(d - high, low - d), 0.0)
-            return (nearest <= (bound * (1 + 1e-9) + 1e-9)[:, None]).astype(float)
+            step = max(1, 2_000_000 // len(reach))
+            flags = np.empty((len(x), len(pivots)))
+            for start in range(0, len(x), step):
+                part = x[start : start + step]
+                d = np.column_stack([np.sqrt(((part - p) ** 2).sum(axis=1)) for p in pivots])
+                bound = np.partition(d[:, reach_cell] + reach, k - 1, axis=1)[:, k - 1]
+                nearest = np.maximum(np.maximum(d - high, low - d), 0.0)
+                flags[start : start + step] = nearest <= (bound * (1 + 1e-9) + 1e-9)[:, None]
+            return flags
 
         queries = df.select(F.col(s.key).alias("_qid"), vector_to_array(s.features).alias("_qx"))
         flags = F.col("_flags")
