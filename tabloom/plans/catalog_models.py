@@ -364,9 +364,10 @@ p AS (SELECT 'value' AS family, i AS config_index, y, fold, value > t AS p FROM
   UNION ALL SELECT 'user', i, y, fold, u > t FROM f, (VALUES (3, 20), (4, 40), (5, 60)) AS v(i, t)),
 m AS (SELECT family, config_index, fold, COUNT(*) FILTER (p AND y) AS tp, COUNT(*) FILTER (p AND NOT y) AS fp,
   COUNT(*) FILTER (NOT p AND y) AS fn, COUNT(*) FILTER (NOT p AND NOT y) AS tn FROM p GROUP BY 1, 2, 3),
-r AS (SELECT *, (tp + tn) / (tp + tn + fp + fn) AS accuracy, tp / (tp + fp) AS precision, tp / (tp + fn) AS recall FROM m),
+r AS (SELECT *, (tp + tn) / (tp + tn + fp + fn) AS accuracy, COALESCE(tp / NULLIF(tp + fp, 0), 0) AS precision,
+  COALESCE(tp / NULLIF(tp + fn, 0), 0) AS recall FROM m),
 q AS (SELECT family, config_index, AVG(accuracy) AS accuracy, STDDEV_SAMP(accuracy) AS accuracy_std, AVG(recall) AS recall,
-  AVG(2 * precision * recall / (precision + recall)) AS f1, SUM(tp)::BIGINT AS tp, SUM(fn)::BIGINT AS fn FROM r GROUP BY 1, 2)"""
+  AVG(COALESCE(2 * precision * recall / NULLIF(precision + recall, 0), 0)) AS f1, SUM(tp)::BIGINT AS tp, SUM(fn)::BIGINT AS fn FROM r GROUP BY 1, 2)"""
 
 
 def rule_report(spark, folder) -> DataFrame:
