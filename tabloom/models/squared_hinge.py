@@ -1,9 +1,8 @@
 """Linear classifier with squared hinge loss, all classes fitted in the same passes.
 
-The loss is smooth, so a quasi-Newton method needs a few dozen passes over the rows, where the
-plain hinge needs hundreds of line-search passes per class. A pass computes, per partition, the
-loss and gradient of every class with one matrix product; the driver holds one weight vector per
-class and its short update history.
+The loss is smooth, so a quasi-Newton method can minimise it with about one pass over the rows per
+step. A pass computes, per partition, the loss and gradient of every class with one matrix
+product; the driver holds one weight vector per class and its short update history.
 """
 
 from __future__ import annotations
