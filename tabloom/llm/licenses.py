@@ -55,7 +55,7 @@ def words(text: Column) -> Column:
 
     Lowering more letters changes no ASCII word but one: the Kelvin sign, which is kept from becoming a k.
     """
-    lowered = F.lower(F.replace(F.coalesce(text, F.lit("")), F.lit("K"), F.lit("°")))
+    lowered = F.lower(F.replace(F.coalesce(text, F.lit("")), F.lit("\u212a"), F.lit("\u00b0")))
     return F.split(lowered, NOT_WORD)
 
 
