@@ -131,11 +131,37 @@ def candidates(docs: DataFrame) -> DataFrame:
     )
 
 
+FREE = "array<struct<start: int, end: int, kind: string, strict: boolean, pattern: int, gazetteer: int, context: int, shape: int>>"
+
+
 def disjoint(base: Column, loose: Column) -> Column:
-    """Loose spans in order that touch no base span and no loose span before them."""
-    overlap = lambda a, b: (a["start"] < b["end"]) & (b["start"] < a["end"])
-    free = F.filter(loose, lambda s: ~F.exists(base, lambda b: overlap(s, b)))
-    return F.filter(free, lambda s: ~F.exists(free, lambda o: overlap(s, o) & ((o["start"] < s["start"]) | ((o["start"] == s["start"]) & (o["kind"] < s["kind"])))))
+    """Loose spans, by start, that touch no base span and no loose span taken before them.
+
+    Two sweeps over all spans in order: backwards, a loose span must end before the next base span
+    starts; forwards, it must start where the last span that counts has ended, or later.
+    """
+    packed = F.transform(
+        F.concat(base, loose), lambda s: F.struct(*[s[n].alias(n) for n in ("start", "end", "kind", "strict", *VOTES, "shape")])
+    )
+    none = F.array().cast(FREE)
+
+    def before(state: Column, s: Column) -> Column:
+        keep = s["strict"] | (s["end"] <= state["next"])
+        return F.struct(
+            F.when(s["strict"], F.least(state["next"], s["start"])).otherwise(state["next"]).alias("next"),
+            F.when(keep, F.array_append(state["out"], s)).otherwise(state["out"]).alias("out"),
+        )
+
+    def after(state: Column, s: Column) -> Column:
+        taken = ~s["strict"] & (s["start"] >= state["last"])
+        return F.struct(
+            F.when(s["strict"] | taken, F.greatest(state["last"], s["end"])).otherwise(state["last"]).alias("last"),
+            F.when(taken, F.array_append(state["out"], s)).otherwise(state["out"]).alias("out"),
+        )
+
+    start = F.struct(F.lit(2**31 - 1).alias("next"), none.alias("out"))
+    clear = F.aggregate(F.reverse(F.array_sort(packed)), start, before, lambda s: F.reverse(s["out"]))
+    return F.aggregate(clear, F.struct(F.lit(0).alias("last"), none.alias("out")), after, lambda s: s["out"])
 
 
 def reliabilities(counts: dict[tuple, int]) -> dict[tuple, float]:
@@ -187,7 +213,9 @@ def detected(docs: DataFrame) -> DataFrame:
     """The contract's columns, and n_added."""
     found = written(candidates(docs).select("doc_id", "base", disjoint(F.col("base"), F.col("loose")).alias("loose")), "pii-candidates")
     pattern = ("kind", *VOTES, "shape", "strict")
-    rows = found.select(F.explode(F.concat("base", "loose")).alias("s")).select("s.*").groupBy(*pattern).count().collect()
+    columns = [F.col(f"s.{c}") for c in pattern]
+    spans_of = found.select(F.explode("base").alias("s")).select(*columns).unionByName(found.select(F.explode("loose").alias("s")).select(*columns))
+    rows = spans_of.groupBy(*pattern).count().collect()
     counts = {tuple(r[c] for c in pattern): r["count"] for r in rows}
     posterior = reliabilities(counts)
     weights = classifier(counts, posterior)
@@ -204,9 +232,14 @@ def detected(docs: DataFrame) -> DataFrame:
     added = F.filter("loose", good)
     listed = F.array(*[F.lit(k) for k in KINDS])
     ordered = F.array_sort(
-        F.transform(
-            F.concat("base", added),
-            lambda s: F.struct(F.array_position(listed, s["kind"]).alias("number"), s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind")),
+        F.concat(
+            *[
+                F.transform(
+                    part,
+                    lambda s: F.struct(F.array_position(listed, s["kind"]).alias("number"), s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind")),
+                )
+                for part in (F.col("base"), added)
+            ]
         )
     )
 
