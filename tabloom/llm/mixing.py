@@ -192,7 +192,6 @@ def mixed(docs: DataFrame, shards: int = 16, seed: int = 17) -> DataFrame:
     )
 
 
-@F.pandas_udf("string")
 def cut(text: pd.Series, low: pd.Series, high: pd.Series) -> pd.Series:
     """The words low to high (exclusive) of each text, with what stands between them."""
     out = []
@@ -234,7 +233,7 @@ def mix(docs: DataFrame, shards: int = 16, seed: int = 17) -> DataFrame:
     order = F.xxhash64(F.lit(seed), "mark", "copy.epoch", "copy.low")
     copies = copies.select("row", "size", "copy", shard.alias("mix_shard"), order.alias("mix_order"))
     whole = F.col("copy.high") - F.col("copy.low") == F.col("size")
-    parts = copies.where(~whole).withColumn("piece", cut(F.col("row.text"), F.col("copy.low"), F.col("copy.high")))
+    parts = copies.where(~whole).withColumn("piece", F.pandas_udf(cut, "string")(F.col("row.text"), F.col("copy.low"), F.col("copy.high")))
     both = copies.where(whole).withColumn("piece", F.col("row.text")).unionByName(parts)
     replaced = {"text": F.col("piece"), "n_chars": F.when(whole, F.col("row.n_chars")).otherwise(F.char_length("piece")) if "n_chars" in columns else None}
     types = dict(docs.dtypes)
