@@ -14,15 +14,13 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-WIDE = 20_000  # sums longer than this are added up in two steps
-DIRECT = 100_000  # up to this many numbers the per-partition sums go to the driver as they are
+GROUPS = 64  # partial sums are first added up in so many groups
 
 
-def summed(data: DataFrame, add: Callable, length: int, parts: int | None) -> np.ndarray:
+def summed(data: DataFrame, add: Callable, length: int) -> np.ndarray:
     """Sum of an array of ``length`` numbers that ``add(total, batch)`` fills per partition.
 
-    ``parts`` bounds the number of partitions when it is known to be small; only then do the
-    partial sums go straight to the driver. Otherwise executors add them up first.
+    Executors add the partial sums up in two steps; one array reaches the driver.
     """
 
     def partial(batches):
@@ -37,12 +35,8 @@ def summed(data: DataFrame, add: Callable, length: int, parts: int | None) -> np
         yield pyarrow.RecordBatch.from_arrays([flat], ["v"])
 
     found = data.mapInArrow(partial, "v array<double>")
-    if parts is not None and parts * length <= DIRECT:
-        return sum(np.array(r["v"]) for r in found.collect())
-    sums = found.select(array_to_vector("v").alias("v"))
-    if length > WIDE:
-        group = F.pmod(F.spark_partition_id(), F.lit(64)).alias("g")
-        sums = sums.groupBy(group).agg(Summarizer.sum(F.col("v")).alias("v"))
+    group = F.pmod(F.spark_partition_id(), F.lit(GROUPS)).alias("g")
+    sums = found.select(array_to_vector("v").alias("v"), group).groupBy("g").agg(Summarizer.sum(F.col("v")).alias("v"))
     return sums.agg(Summarizer.sum(F.col("v")).alias("v")).first()["v"].toArray()
 
 

@@ -1,6 +1,7 @@
 """AdaBoost on decision stumps for any number of classes (SAMME).
 
-Features are cut into a few dozen bins once. A round is one pass over the binned rows: it
+Features are cut into ``bins`` bins once, at quantiles of a sketch, so a stump's threshold is the best of
+``bins`` - 1 candidates and not of all values; features with fewer distinct values lose nothing. A round is one pass over the binned rows: it
 recomputes each row's weight from the stumps found so far and adds up weight by feature, bin
 and class. The best stump and its exact weighted error follow from that small table on the
 driver. Rows never carry state from round to round, so nothing has to be checkpointed.
@@ -17,11 +18,10 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabloom.functions.blocks import summed
+from tabloom.functions.blocks import per_batch, summed
 from tabloom.functions.expressions import argmax_index
-from tabloom.session import compact, compact_partitions, keep
+from tabloom.session import dealt, keep
 
-BINS = 32  # candidate cuts per feature, as in Spark's trees
 
 
 @dataclass(frozen=True)
@@ -37,21 +37,23 @@ class Stump:
 
 
 class AdaBoost(Estimator):
-    def __init__(self, classes, n_estimators=50, learning_rate=1.0, features="features", label="label", seed=0):
+    def __init__(self, classes, n_estimators=50, learning_rate=1.0, features="features", label="label", seed=0, bins=32):
         super().__init__()
+        if not 2 <= bins <= 127:
+            raise ValueError("between 2 and 127 bins")
+        self.bins = bins
         self.classes, self.n_estimators, self.learning_rate = classes, n_estimators, learning_rate
         self.features, self.label, self.seed = features, label, seed
 
     def _fit(self, df: DataFrame) -> AdaBoostModel:
         rows = df.select(vector_to_array(self.features).alias("x"), F.col(self.label).cast("double").alias("y"))
         n, width = rows.count(), len(rows.select("x").first()["x"])
-        cuts = _cut_points(rows, width)
-        binned = keep(compact(rows, n, width).mapInArrow(_binner(cuts), "b array<tinyint>, y double"))
-        parts = compact_partitions(n, width)
+        cuts = _cut_points(rows, width, self.bins)
+        binned = keep(dealt(rows, n, width).mapInArrow(_binner(cuts), "b array<tinyint>, y double"))
         stumps: list[Stump] = []
         log_total = math.log(max(n, 1))
         for _ in range(self.n_estimators):
-            table = _weights(binned, stumps, log_total, width, self.classes, parts)
+            table = _weights(binned, stumps, log_total, width, self.classes, self.bins)
             found, error = _best_stump(table, cuts)
             if error >= 1.0 - 1.0 / self.classes - 1e-12:
                 if not stumps:
@@ -69,11 +71,11 @@ class AdaBoost(Estimator):
         return AdaBoostModel(tuple(stumps), self.classes, self.features)
 
 
-def _cut_points(rows: DataFrame, width: int) -> list[np.ndarray]:
+def _cut_points(rows: DataFrame, width: int, bins: int) -> list[np.ndarray]:
     """Candidate thresholds per feature from one sketch pass; the largest value is no cut."""
-    probs = F.array(*[F.lit(i / BINS) for i in range(1, BINS)])
+    probs = F.array(*[F.lit(i / bins) for i in range(1, bins)])
     found = rows.agg(
-        *[F.percentile_approx(F.col("x")[i], probs, F.lit(1000)).alias(f"q{i}") for i in range(width)],
+        *[F.percentile_approx(F.col("x")[i], probs, F.lit(10_000)).alias(f"q{i}") for i in range(width)],
         *[F.max(F.col("x")[i]).alias(f"m{i}") for i in range(width)],
     ).first()
     return [np.array(sorted({v for v in found[f"q{i}"] if v < found[f"m{i}"]})) for i in range(width)]
@@ -101,10 +103,9 @@ def _binner(cuts: list[np.ndarray]):
     return run
 
 
-def _weights(binned, stumps, log_total, width, classes, parts) -> np.ndarray:
+def _weights(binned, stumps, log_total, width, classes, bins) -> np.ndarray:
     """Total row weight by feature, bin and class: one pass."""
     rules = [(s.feature, s.bin, s.left, s.right, s.weight) for s in stumps]
-    bins = BINS
 
     def add(total, batch):
         import numpy
@@ -117,7 +118,7 @@ def _weights(binned, stumps, log_total, width, classes, parts) -> np.ndarray:
         place = (numpy.arange(width) * bins + b) * classes + y[:, None]
         total += numpy.bincount(place.ravel(), numpy.repeat(numpy.exp(raised), width), minlength=len(total))
 
-    return summed(binned, add, width * bins * classes, parts).reshape(width, bins, classes)
+    return summed(binned, add, width * bins * classes).reshape(width, bins, classes)
 
 
 def _best_stump(table: np.ndarray, cuts: list[np.ndarray]) -> tuple[Stump, float]:
@@ -130,7 +131,7 @@ def _best_stump(table: np.ndarray, cuts: list[np.ndarray]) -> tuple[Stump, float
         error[i, len(c) :] = np.inf
     if not np.isfinite(error).any():
         winner = int(total.argmax())
-        return Stump(0, BINS, math.inf, winner, winner), float(1.0 - total.max() / total.sum())
+        return Stump(0, table.shape[1], math.inf, winner, winner), float(1.0 - total.max() / total.sum())
     feature, cut = np.unravel_index(np.argmin(error), error.shape)
     sides = int(left[feature, cut].argmax()), int(right[feature, cut].argmax())
     return Stump(int(feature), int(cut), float(cuts[feature][cut]), *sides), float(max(error[feature, cut], 0.0))
@@ -144,20 +145,22 @@ class AdaBoostModel(Model):
         self.stumps, self.classes, self.features = stumps, classes, features
 
     def _transform(self, df: DataFrame) -> DataFrame:
-        x = F.col("_x")
-        scores = []
-        for c in range(self.classes):
-            score = F.lit(0.0)
-            for s in self.stumps:
-                left, right = (s.weight if side == c else 0.0 for side in (s.left, s.right))
-                if left or right:
-                    score = score + F.when(x[s.feature] <= F.lit(s.threshold), F.lit(left)).otherwise(F.lit(right))
-            scores.append(score)
-        total = F.lit(float(sum(s.weight for s in self.stumps)) or 1.0)
+        feature, threshold = (np.array([getattr(s, k) for s in self.stumps]) for k in ("feature", "threshold"))
+        sides = np.zeros((2, len(self.stumps), self.classes))
+        for i, s in enumerate(self.stumps):
+            sides[0, i, s.left] = sides[1, i, s.right] = s.weight
+        total = float(sum(s.weight for s in self.stumps)) or 1.0
+
+        def votes(x: np.ndarray) -> np.ndarray:
+            out = np.empty((len(x), sides.shape[2]))
+            for at in range(0, len(x), 1000):
+                low = x[at : at + 1000][:, feature] <= threshold
+                out[at : at + 1000] = low @ sides[0] + ~low @ sides[1]
+            return out
+
         return (
-            df.withColumn("_x", vector_to_array(self.features))
-            .withColumn("_votes", F.array(*scores))
+            df.withColumn("_votes", per_batch(votes, vector_to_array(self.features)))
             .withColumn("prediction", argmax_index("_votes").cast("double"))
-            .withColumn("probability", array_to_vector(F.transform("_votes", lambda v: v / total)))
-            .drop("_x", "_votes")
+            .withColumn("probability", array_to_vector(F.transform("_votes", lambda v: v / F.lit(total))))
+            .drop("_votes")
         )

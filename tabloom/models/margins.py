@@ -74,17 +74,18 @@ class KernelFeaturesModel(Model):
 class SupportVectorMachine(Estimator):
     """Margin classifier of any number of classes; kernels go through ``KernelFeatures``.
 
-    ``cost`` weighs the squared hinge loss of every row, for every kernel.
+    ``cost`` weighs the squared hinge loss of every row, for every kernel. ``components`` is the number of
+    random features or landmarks: the kernel is approximated with an error that falls as one over its root.
     """
 
     def __init__(
         self, classes, kernel="sigmoid", cost=1.0, gamma=0.1, degree=3, coef0=0.0, components=200,
-        max_iter=100, features="features", label="label", seed=0,
+        max_iter=200, tol=1e-4, features="features", label="label", seed=0,
     ):
         super().__init__()
         if kernel not in KERNELS:
             raise ValueError(f"kernel {kernel} is not one of {', '.join(KERNELS)}")
-        self.classes, self.kernel, self.cost, self.max_iter = classes, kernel, float(cost), max_iter
+        self.classes, self.kernel, self.cost, self.max_iter, self.tol = classes, kernel, float(cost), max_iter, tol
         self.gamma, self.degree, self.coef0, self.components = gamma, degree, coef0, components
         self.features, self.label, self.seed = features, label, seed
 
@@ -96,7 +97,7 @@ class SupportVectorMachine(Estimator):
                 self.kernel, self.gamma, self.degree, self.coef0, self.components, self.features, seed=self.seed
             ).fit(df)
             inputs, df = mapping.output, mapping.transform(df)
-        fitted = SquaredHinge(self.classes, self.cost, self.max_iter, features=inputs, label=self.label).fit(df)
+        fitted = SquaredHinge(self.classes, self.cost, self.max_iter, self.tol, features=inputs, label=self.label).fit(df)
         return SupportVectorMachineModel(mapping, fitted)
 
 

@@ -1,5 +1,10 @@
-"""Exact k-nearest-neighbour classification as a distributed join of cells.
+"""k-nearest-neighbour classification.
 
+By default the model keeps a training block of at most ``max_train_rows`` rows: all rows up to that
+number, beyond it the rows with the smallest hashes of each class, in proportion to the classes. The
+block goes to the workers, and queries are scanned once, where they are.
+
+With ``exact`` every training row counts, whatever their number, in a distributed join of cells.
 Training rows are assigned to the nearest of a few pivots. From the distances of a query to
 the pivots and the k smallest distances per cell follows an upper bound of the query's k-th
 neighbour distance; cells that the triangle inequality rules out are never visited. Hot cells
@@ -11,8 +16,10 @@ block leave its task.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 import numpy as np
+import pyarrow as pa
 from pyspark.ml import Estimator, Model
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, Window
@@ -20,34 +27,52 @@ from pyspark.sql import functions as F
 
 from tabloom.functions.blocks import per_batch
 from tabloom.functions.expressions import argmax_index, order_key
-from tabloom.session import keep
+from tabloom.session import keep, stored
 
 DIGITS = 9  # distances are compared after rounding to this many digits
+MAX_TRAIN_ROWS = 50_000
 
 
 class NearestNeighbours(Estimator):
-    """Ties: smaller distance, then smaller training key; equal votes go to the smaller class."""
+    """Ties: smaller distance, then smaller training key; equal votes go to the smaller class.
+
+    ``pivots`` (exact way only) is the number of cells; the default grows with the root of the rows up
+    to ``max_pivots``.
+    """
 
     def __init__(
-        self, classes, n_neighbors=3, key="id", features="features", label="label",
-        block_rows=20_000, max_pivots=512, seed=0,
+        self, classes, n_neighbors=3, key="id", features="features", label="label", exact=False,
+        max_train_rows=MAX_TRAIN_ROWS, block_rows=20_000, pivots: int | None = None, max_pivots=512, seed=0,
     ):
         super().__init__()
         self.classes, self.n_neighbors, self.key = classes, n_neighbors, key
         self.features, self.label, self.seed = features, label, seed
-        self.block_rows, self.max_pivots = block_rows, max_pivots
-
-    def _fit(self, df: DataFrame) -> NearestNeighboursModel:
-        rows = keep(
-            df.select(
-                F.col(self.key).alias("_tid"),
-                vector_to_array(self.features).alias("_tx"),
-                F.col(self.label).cast("double").alias("_ty"),
-            )
+        self.exact, self.max_train_rows = exact, max_train_rows
+        self.block_rows, self.pivots, self.max_pivots = block_rows, pivots, max_pivots
+
+    def _fit(self, df: DataFrame) -> Model:
+        rows = df.select(
+            F.col(self.key).alias("_tid"),
+            vector_to_array(self.features).alias("_tx"),
+            F.col(self.label).cast("double").alias("_ty"),
         )
+        return self._fit_cells(keep(rows)) if self.exact else self._fit_block(rows)
+
+    def _fit_block(self, rows: DataFrame) -> BlockNeighboursModel:
+        sizes = {r["_ty"]: r["n"] for r in rows.groupBy("_ty").agg(F.count("*").alias("n")).collect()}
+        total = sum(sizes.values())
+        if total > self.max_train_rows:
+            mark = order_key(self.seed, F.col("_tid").cast("string"))
+            share = {c: max(1, self.max_train_rows * n // total) for c, n in sizes.items()}
+            parts = [rows.where(F.col("_ty").eqNullSafe(F.lit(c))).orderBy(mark, "_tid").limit(n) for c, n in share.items()]
+            rows = reduce(DataFrame.unionByName, parts)
+        block = rows.orderBy("_tid").toArrow()  # at most max_train_rows rows
+        return BlockNeighboursModel(self, block)
+
+    def _fit_cells(self, rows: DataFrame) -> NearestNeighboursModel:
         n = rows.count()
         # pivots: distinct points with the smallest hashes; their number is bounded
-        wanted = int(min(max(math.sqrt(n) / 4, 1), max(4 * n / self.block_rows, 1), self.max_pivots))
+        wanted = self.pivots or int(min(max(math.sqrt(n) / 4, 1), max(4 * n / self.block_rows, 1), self.max_pivots))
         chosen = (
             rows.select("_tx", order_key(self.seed, F.col("_tx").cast("string")).alias("_k"))
             .groupBy("_k")
@@ -67,10 +92,13 @@ class NearestNeighbours(Estimator):
                 best[closer], best_cell[closer] = d[closer], j
             return np.column_stack([best_cell, best])
 
-        celled = rows.withColumn("_n", per_batch(nearest, F.col("_tx"))).select(
-            "_tid", "_tx", "_ty", F.col("_n")[0].cast("int").alias("_cell"), F.col("_n")[1].alias("_d")
+        celled = keep(
+            rows.withColumn("_n", per_batch(nearest, F.col("_tx"))).select(
+                "_tid", "_tx", "_ty", F.col("_n")[0].cast("int").alias("_cell"), F.col("_n")[1].alias("_d")
+            )
         )
         cells = celled.groupBy("_cell").agg(F.count("*").alias("n"), F.min("_d").alias("lo"), F.max("_d").alias("hi")).collect()
+        rows.unpersist()
         # the k smallest distances per cell: at most pivots * k numbers on the driver
         close = Window.partitionBy("_cell").orderBy("_d")
         inner = (
@@ -79,7 +107,61 @@ class NearestNeighbours(Estimator):
             .where(F.col("_r") <= self.n_neighbors)
             .collect()
         )
-        return NearestNeighboursModel(self, celled, rows, n, pivots, cells, inner)
+        return NearestNeighboursModel(self, celled, celled, n, pivots, cells, inner)
+
+
+class BlockNeighboursModel(Model):
+    """Neighbours among a block of training rows that every worker holds."""
+
+    def __init__(self, settings: NearestNeighbours, block):
+        super().__init__()
+        self.settings, self.block = settings, block
+        self.k = min(settings.n_neighbors, len(block))
+        self.points = block["_tx"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(len(block), -1)
+
+    def unpersist(self) -> None:
+        """Nothing is cached."""
+
+    def _found(self, df: DataFrame):
+        """Positions and distances of the k nearest rows of every query, as one array."""
+        best, points, k = _nearest(self.k), self.points, self.k
+
+        def search(x):
+            rows, columns, distance = best(x, points)
+            return np.hstack([columns.reshape(len(x), k), distance.reshape(len(x), k)])
+
+        return per_batch(search, vector_to_array(self.settings.features))
+
+    def neighbours(self, df: DataFrame) -> DataFrame:
+        """``key, rank, distance, neighbour, neighbour_label`` of the k nearest training rows."""
+        s, k, spark = self.settings, self.k, df.sparkSession
+        places = list(range(len(self.block)))
+        names = spark.createDataFrame(self.block.select(["_tid", "_ty"]).append_column("_at", pa.array(places, pa.int32())))
+        found = df.select(F.col(s.key), self._found(df).alias("_f"))
+        each = F.transform(F.sequence(F.lit(1), F.lit(k)), lambda r: F.struct(r.alias("rank"), F.get("_f", r + k - 1).alias("distance"), F.get("_f", r - 1).cast("int").alias("_at")))
+        long = found.select(s.key, F.inline(each))
+        return long.join(F.broadcast(names), "_at").select(
+            s.key, "rank", "distance", F.col("_tid").alias("neighbour"), F.col("_ty").alias("neighbour_label")
+        )
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        s, k = self.settings, self.k
+        labels = self.block["_ty"].to_numpy(zero_copy_only=False)
+        best, points, classes = _nearest(k), self.points, s.classes
+
+        def votes(x):
+            rows, columns, _ = best(x, points)
+            out = np.zeros((len(x), classes))
+            for c in range(classes):
+                out[:, c] = (labels[columns] == c).reshape(len(x), k).sum(axis=1)
+            return out
+
+        return (
+            df.withColumn("_votes", per_batch(votes, vector_to_array(s.features)))
+            .withColumn("prediction", argmax_index("_votes").cast("double"))
+            .withColumn("probability", array_to_vector(F.transform("_votes", lambda v: v / F.lit(float(k)))))
+            .drop("_votes")
+        )
 
 
 class NearestNeighboursModel(Model):
@@ -115,14 +197,15 @@ class NearestNeighboursModel(Model):
                 flags[start : start + step] = nearest <= (bound * (1 + 1e-9) + 1e-9)[:, None]
             return flags
 
-        queries = df.select(F.col(s.key).alias("_qid"), vector_to_array(s.features).alias("_qx"))
+        queries = df.select(F.col(s.key).alias("_qid"), vector_to_array(s.features).alias("_qx")).dropDuplicates(["_qid"])
         flags = F.col("_flags")
         hits = F.filter(
             F.transform(F.array(*[F.lit(int(c)) for c in cell_ids]), lambda c, i: F.when(flags[i] > 0, c)),
             lambda c: c.isNotNull(),
         )
-        routed = queries.withColumn("_flags", per_batch(visited, F.col("_qx"))).select(
-            "_qid", "_qx", F.explode(hits).alias("_cell")
+        routed = stored(
+            queries.withColumn("_flags", per_batch(visited, F.col("_qx"))).select("_qid", "_qx", F.explode(hits).alias("_cell")),
+            "routed-queries",
         )
         # one row per cell: how many parts its queries and its training rows are cut into
         asked = {r["_cell"]: r["n"] for r in routed.groupBy("_cell").agg(F.count("*").alias("n")).collect()}
@@ -173,34 +256,20 @@ class NearestNeighboursModel(Model):
         return df.join(scored, s.key)
 
 
-def _block_search(k: int):
-    """Distances of one block of queries to one block of training rows; k best per query."""
+def _nearest(k: int):
+    """(query rows, training columns, rounded distances) of the k nearest training rows, by row and rank.
+
+    Training rows are in key order, so that the smaller key wins a tie.
+    """
     digits = DIGITS
 
-    def search(queries, train):
+    def search(q, t):
         import numpy
-        import pyarrow
 
-        schema = pyarrow.schema(
-            [
-                ("_qid", queries.schema.field("_qid").type),
-                ("_d", pyarrow.float64()),
-                ("_tid", train.schema.field("_tid").type),
-                ("_ty", pyarrow.float64()),
-            ]
-        )
-        if not len(queries) or not len(train):
-            return schema.empty_table()
-
-        def matrix(column, rows):
-            return column.combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(rows, -1)
-
-        train = train.sort_by("_tid")
-        t, q = matrix(train["_tx"], len(train)), matrix(queries["_qx"], len(queries))
-        take = min(k, len(train))
+        take = min(k, len(t))
         norms = (t**2).sum(axis=1)
         picked_q, picked_t, picked_d = [], [], []
-        step = max(1, 5_000_000 // max(len(train), 1))
+        step = max(1, 5_000_000 // max(len(t), 1))
         for start in range(0, len(q), step):
             part = q[start : start + step]
             squares = (part**2).sum(axis=1)
@@ -221,11 +290,38 @@ def _block_search(k: int):
             picked_q.append(rows[best] + start)
             picked_t.append(columns[best])
             picked_d.append(distance[best])
-        chosen_q, chosen_t = numpy.concatenate(picked_q), numpy.concatenate(picked_t)
+        return numpy.concatenate(picked_q), numpy.concatenate(picked_t), numpy.concatenate(picked_d)
+
+    return search
+
+
+def _block_search(k: int):
+    """Distances of one block of queries to one block of training rows; k best per query."""
+    nearest = _nearest(k)
+
+    def search(queries, train):
+        import pyarrow
+
+        schema = pyarrow.schema(
+            [
+                ("_qid", queries.schema.field("_qid").type),
+                ("_d", pyarrow.float64()),
+                ("_tid", train.schema.field("_tid").type),
+                ("_ty", pyarrow.float64()),
+            ]
+        )
+        if not len(queries) or not len(train):
+            return schema.empty_table()
+
+        def matrix(column, rows):
+            return column.combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(rows, -1)
+
+        train = train.sort_by("_tid")
+        chosen_q, chosen_t, distance = nearest(matrix(queries["_qx"], len(queries)), matrix(train["_tx"], len(train)))
         return pyarrow.table(
             [
                 queries["_qid"].take(pyarrow.array(chosen_q)),
-                pyarrow.array(numpy.concatenate(picked_d)),
+                pyarrow.array(distance),
                 train["_tid"].take(pyarrow.array(chosen_t)),
                 train["_ty"].take(pyarrow.array(chosen_t)),
             ],

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from tabloom.functions.expressions import derived_seed
 from tabloom.operators.metrics import log_loss
 from tabloom.operators.splits import holdout
-from tabloom.session import compact, keep
+from tabloom.session import dealt, keep
 
 
 class NeuralNetwork(Estimator):
@@ -22,21 +22,28 @@ class NeuralNetwork(Estimator):
     trains in warm-started rounds of ``round_epochs``, keeps the weights with the lowest
     validation loss and stops after ``patience`` epochs without improvement, or once the
     training loss reaches ``min_loss``. Losses per round stay in ``history``.
+
+    A learning rate means gradient descent (``gd``) with steps of that size; without one the
+    network trains by l-bfgs, which finds its own steps. Patience is counted in whole rounds, and
+    a round starts from the weights of the one before but not from the solver's memory.
     """
 
     def __init__(
-        self, classes, topology: Sequence[int] = (4, 3), max_epochs=1000, min_loss=0.0, learning_rate=0.01,
-        validation_ratio=0.0, patience=20, round_epochs=10, solver="l-bfgs", key: str | None = None,
+        self, classes, topology: Sequence[int] = (4, 3), max_epochs=1000, min_loss=0.0, learning_rate: float | None = None,
+        validation_ratio=0.0, patience=20, round_epochs=10, solver: str | None = None, key: str | None = None,
         features="features", label="label", seed=0,
     ):
         super().__init__()
         self.classes, self.topology, self.max_epochs, self.min_loss = classes, list(topology), max_epochs, min_loss
         self.learning_rate, self.validation_ratio, self.patience = learning_rate, validation_ratio, patience
-        self.round_epochs, self.solver, self.key = round_epochs, solver, key
+        self.round_epochs, self.key = round_epochs, key
+        self.solver = solver or ("l-bfgs" if learning_rate is None else "gd")
+        if learning_rate is not None and self.solver != "gd":
+            raise ValueError("a learning rate has no effect on l-bfgs")
         self.features, self.label, self.seed = features, label, seed
 
     def _trainer(self, width: int, epochs: int) -> MultilayerPerceptronClassifier:
-        return MultilayerPerceptronClassifier(
+        trainer = MultilayerPerceptronClassifier(
             featuresCol=self.features,
             labelCol=self.label,
             layers=[width, *self.topology, max(self.classes, 2)],
@@ -44,8 +51,8 @@ class NeuralNetwork(Estimator):
             tol=1e-9,
             seed=self.seed,
             solver=self.solver,
-            stepSize=self.learning_rate,
         )
+        return trainer if self.learning_rate is None else trainer.setStepSize(self.learning_rate)
 
     def _fit(self, df: DataFrame) -> NetworkModel:
         if self.validation_ratio > 0:
@@ -56,7 +63,7 @@ class NeuralNetwork(Estimator):
                 marked.where("_side = 'train'").drop("_side"), marked.where("_side = 'test'").drop("_side")
             )
         width = df.select(self.features).first()[0].size
-        df = compact(df.select(self.features, self.label), df.count(), width)
+        df = dealt(df.select(self.features, self.label), df.count(), width)
         fitted = self._trainer(width, self.max_epochs).fit(df)
         losses = [float(v) for v in fitted.summary().objectiveHistory]
         return NetworkModel(fitted, [(i, v, None, None) for i, v in enumerate(losses)])
@@ -64,7 +71,7 @@ class NeuralNetwork(Estimator):
     def fit_with_validation(self, train: DataFrame, validation: DataFrame, test: DataFrame | None = None) -> NetworkModel:
         width = train.select(self.features).first()[0].size
         train, validation = (
-            keep(compact(part.select(self.features, self.label), part.count(), width)) for part in (train, validation)
+            keep(dealt(part.select(self.features, self.label), part.count(), width)) for part in (train, validation)
         )
         best, best_loss, waited, epoch = None, float("inf"), 0, 0
         weights, history = None, []

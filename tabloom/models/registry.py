@@ -51,11 +51,13 @@ class Columns:
 
 
 def tree_depth(depth: int) -> int:
+    """Spark's trees end at 30 levels; no limit means that many, and more cannot be had."""
+    if depth > MAX_TREE_DEPTH:
+        raise ValueError(f"trees have at most {MAX_TREE_DEPTH} levels, not {depth}")
     if depth < 0:
+        warnings.warn(f"unlimited depth stands for {MAX_TREE_DEPTH} levels", stacklevel=3)
         return MAX_TREE_DEPTH
-    if depth > MAX_TREE_DEPTH:
-        warnings.warn(f"depth {depth} is cut to {MAX_TREE_DEPTH}", stacklevel=3)
-    return min(depth, MAX_TREE_DEPTH)
+    return depth
 
 
 def get_model(name: str, settings: Mapping | None = None, columns: Columns | None = None) -> Estimator:
@@ -68,7 +70,7 @@ def get_model(name: str, settings: Mapping | None = None, columns: Columns | Non
     own = {"features": c.features, "label": c.label, "seed": c.seed}
     if kind in ("SVC", "SVCProbabilistic"):
         chosen = {k: s.get(k, v) for k, v in KERNEL_DEFAULTS.items()}
-        svm = SupportVectorMachine(c.classes, components=s.get("components", 200), max_iter=s.get("max_iter", 100), **chosen, **own)
+        svm = SupportVectorMachine(c.classes, components=s.get("components", 200), max_iter=s.get("max_iter", 200), tol=s.get("tol", 1e-4), **chosen, **own)
         return svm if kind == "SVC" else CalibratedMargins(svm, c.key, c.label, seed=c.seed)
     if kind == "DecisionTreeClassifier":
         return DecisionTreeClassifier(
@@ -77,7 +79,8 @@ def get_model(name: str, settings: Mapping | None = None, columns: Columns | Non
     if kind == "DecisionTreeRegressor":
         return DecisionTreeRegressor(**io, maxDepth=tree_depth(s.get("max_depth", 5)), seed=c.seed)
     if kind == "KNeighborsClassifier":
-        return NearestNeighbours(c.classes, s.get("n_neighbors", 3), c.key, **own)
+        chosen = {k: s[k] for k in ("exact", "max_train_rows", "pivots") if k in s}
+        return NearestNeighbours(c.classes, s.get("n_neighbors", 3), c.key, **chosen, **own)
     if kind == "RandomForestClassifier":
         return RandomForestClassifier(
             **io, numTrees=s.get("n_trees", 100), maxDepth=tree_depth(s.get("max_depth", -1)), seed=c.seed, maxMemoryInMB=1024
@@ -93,7 +96,7 @@ def get_model(name: str, settings: Mapping | None = None, columns: Columns | Non
         s.get("topology", (4, 3)),
         max_epochs=s.get("max_epochs", 1000),
         min_loss=s.get("min_loss", 0.0),
-        learning_rate=s.get("learning_rate", 0.01),
+        learning_rate=s.get("learning_rate"),
         validation_ratio=s.get("validation_ratio", 0.0),
         patience=s.get("patience", 20),
         round_epochs=s.get("round_epochs", 10),

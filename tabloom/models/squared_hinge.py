@@ -7,6 +7,8 @@ product; the driver holds one weight vector per class and its short update histo
 
 from __future__ import annotations
 
+import warnings
+
 import numpy as np
 from pyspark.ml import Estimator, Model
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -16,32 +18,37 @@ from pyspark.sql import functions as F
 
 from tabloom.functions.blocks import per_batch, summed
 from tabloom.functions.expressions import argmax_index
-from tabloom.session import compact, compact_partitions, keep
+from tabloom.session import dealt, keep
 
 MEMORY = 10  # remembered updates per class
 
 
 class SquaredHinge(Estimator):
-    """Minimises |w|^2 / (2 * cost * rows) + mean(max(0, 1 - y * margin)^2) per class against the rest."""
+    """Minimises |w|^2 / (2 * cost * rows) + mean(max(0, 1 - y * margin)^2) per class against the rest.
+
+    It ends when the gradient has shrunk to ``tol`` of its first length, or when a step gains less than a
+    thousandth of ``tol`` of the objective; after ``max_iter`` steps without either it warns.
+    """
 
-    def __init__(self, classes, cost=1.0, max_iter=100, tol=5e-3, features="features", label="label"):
+    def __init__(self, classes, cost=1.0, max_iter=200, tol=1e-4, features="features", label="label"):
         super().__init__()
         self.classes, self.cost, self.max_iter, self.tol = classes, float(cost), max_iter, tol
         self.features, self.label = features, label
 
     def _fit(self, df: DataFrame) -> SquaredHingeModel:
         rows = df.select(self.features, F.col(self.label).cast("double").alias("_y"))
-        summary = rows.agg(Summarizer.metrics("count", "std").summary(F.col(self.features)).alias("s")).first()["s"]
+        summary = rows.agg(Summarizer.metrics("count", "std", "mean").summary(F.col(self.features)).alias("s")).first()["s"]
         n, deviation = summary["count"], summary["std"].toArray()
-        scale = np.where(deviation > 0, 1.0 / np.where(deviation > 0, deviation, 1.0), 0.0)
-        data = keep(compact(rows, n, len(scale)).select(vector_to_array(self.features).alias("_x"), "_y"))
-        parts = compact_partitions(n, len(scale))
+        # a column that varies by rounding errors only is constant
+        varies = deviation > 1e-9 * np.abs(summary["mean"].toArray())
+        scale = np.where(varies, 1.0 / np.where(varies, deviation, 1.0), 0.0)
+        data = keep(dealt(rows, n, len(scale)).select(vector_to_array(self.features).alias("_x"), "_y"))
         positives = np.array([1.0] if self.classes <= 2 else range(self.classes), dtype=float)
         penalty = 1.0 / (self.cost * max(n, 1))
 
         def evaluate(points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             """Objective and gradient per class; a point holds scaled weights and the intercept."""
-            sums = _pass(data, points[:, :-1] * scale, points[:, -1], positives, parts) / n
+            sums = _pass(data, points[:, :-1] * scale, points[:, -1], positives) / n
             loss, gradient = sums[:, 0], sums[:, 1:]
             gradient[:, :-1] = gradient[:, :-1] * scale + penalty * points[:, :-1]
             return loss + 0.5 * penalty * (points[:, :-1] ** 2).sum(axis=1), gradient
@@ -51,9 +58,7 @@ class SquaredHinge(Estimator):
         return SquaredHingeModel(points[:, :-1] * scale, points[:, -1], self.classes, self.features)
 
 
-def _pass(
-    data: DataFrame, weights: np.ndarray, intercepts: np.ndarray, positives: np.ndarray, parts: int | None
-) -> np.ndarray:
+def _pass(data: DataFrame, weights: np.ndarray, intercepts: np.ndarray, positives: np.ndarray) -> np.ndarray:
     """Per class: summed loss, then the gradient by weight and by intercept."""
     count, width = weights.shape
 
@@ -69,7 +74,7 @@ def _pass(
         block[:, 1:-1] += push.T @ x
         block[:, -1] += push.sum(axis=0)
 
-    return summed(data, add, count * (width + 2), parts).reshape(count, width + 2)
+    return summed(data, add, count * (width + 2)).reshape(count, width + 2)
 
 
 def _minimise(evaluate, points: np.ndarray, max_iter: int, tol: float) -> np.ndarray:
@@ -83,7 +88,7 @@ def _minimise(evaluate, points: np.ndarray, max_iter: int, tol: float) -> np.nda
     active = first > 1e-12
     for _ in range(max_iter):
         if not active.any():
-            break
+            return points
         trial = points + np.where(active, steps, 0.0)[:, None] * directions
         new_values, new_gradients = evaluate(trial)
         for c in np.nonzero(active)[0]:
@@ -99,7 +104,9 @@ def _minimise(evaluate, points: np.ndarray, max_iter: int, tol: float) -> np.nda
                 history[c] = [*history[c], (moved, turned)][-MEMORY:]
             directions[c], steps[c] = _direction(gradients[c], history[c]), 1.0
             still = np.linalg.norm(gradients[c]) > tol * max(first[c], 1e-12)
-            active[c] = still and gain > 1e-5 * max(abs(values[c]), 1e-12)
+            active[c] = still and gain > 1e-3 * tol * max(abs(values[c]), 1e-12)
+    if active.any():
+        warnings.warn(f"no convergence in {max_iter} steps", stacklevel=2)
     return points
 
 

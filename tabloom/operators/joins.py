@@ -2,31 +2,15 @@
 
 from __future__ import annotations
 
-import math
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-HOT_ROWS = 5_000_000  # rows of one key that one task may still take
-TRACKED = 1_000  # hot keys handled; the sketch follows ten times as many
 
-
-def hot_keys(df: DataFrame, key: str, more_than: int = HOT_ROWS) -> dict:
-    """Keys with more rows than one task should take, with their approximate counts.
-
-    One pass over the key column with a mergeable frequent-items sketch; no shuffle of keys.
-    """
-    sketch = F.expr(f"approx_top_k(`{key}`, {TRACKED}, {10 * TRACKED})")
-    found = df.where(F.col(key).isNotNull()).agg(sketch.alias("top")).first()["top"] or []
-    return {r["item"]: r["count"] for r in found if r["count"] > more_than}
-
-
-def _parts(key: str, counts: dict, more_than: int) -> Column:
-    pieces = [F.lit(v) for k, n in counts.items() for v in (k, math.ceil(n / more_than))]
-    if not pieces:
-        return F.lit(1)
-    return F.coalesce(F.create_map(*pieces)[F.col(key)], F.lit(1))
+def _parts(key: str, split: Mapping) -> Column:
+    pieces = [F.lit(v) for k, n in split.items() for v in (k, n)]
+    return F.coalesce(F.create_map(*pieces)[F.col(key)], F.lit(1)) if pieces else F.lit(1)
 
 
 def join_on_key(
@@ -37,15 +21,18 @@ def join_on_key(
     name: str = "track_id",
     left_columns: Sequence[str] | None = None,
     right_columns: Sequence[str] | None = None,
-    hot_rows: int = HOT_ROWS,
+    split_left: Mapping | None = None,
+    split_right: Mapping | None = None,
 ) -> DataFrame:
     """Inner join whose key comes out as text.
 
     Keys of one type are compared in that type and cast afterwards, which keeps bucketed
     layouts usable and moves fewer bytes; keys of different types are compared as text.
-    Only the wanted columns enter the join, so both scans are pruned. Without hot keys the
-    planner picks the strategy. The rows of a hot key are cut into parts by a hash of their
-    values, and the other side's rows of that key are repeated once per part.
+    Only the wanted columns enter the join, so both scans are pruned. The planner picks the
+    strategy, and adaptive execution splits the partitions of hot keys. Where keys are known to
+    be too hot for that, ``split_left`` and ``split_right`` name them with a number of parts:
+    rows of such a key are dealt out by a hash of their values, and the other side's rows of
+    the key are repeated once for each part.
     """
     right_key = right_key or left_key
     same = left.schema[left_key].dataType == right.schema[right_key].dataType
@@ -55,18 +42,18 @@ def join_on_key(
         return df.select((F.col(key) if same else F.col(key).cast("string")).alias(name), *kept)
 
     a, b = side(left, left_key, left_columns), side(right, right_key, right_columns)
-    hot_a, hot_b = hot_keys(a, name, hot_rows), hot_keys(b, name, hot_rows)
-    if not hot_a and not hot_b:
+    if not split_left and not split_right:
         return a.join(b, name, "inner").withColumn(name, F.col(name).cast("string"))
 
-    def own(df: DataFrame, counts: dict) -> Column:
+    def own(df: DataFrame, split: Mapping) -> Column:
         # the part follows from the row's values, so a recomputed row lands in the same part
-        return F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), _parts(name, counts, hot_rows)).cast("int")
+        return F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), _parts(name, split)).cast("int")
 
-    def every(counts: dict) -> Column:
-        return F.explode(F.sequence(F.lit(0), _parts(name, counts, hot_rows) - 1))
+    def every(split: Mapping) -> Column:
+        return F.explode(F.sequence(F.lit(0), _parts(name, split) - 1))
 
-    a = a.withColumn("_a", own(a, hot_a)).withColumn("_b", every(hot_b))
-    b = b.withColumn("_b", own(b, hot_b)).withColumn("_a", every(hot_a))
+    split_left, split_right = split_left or {}, split_right or {}
+    a = a.withColumn("_a", own(a, split_left)).withColumn("_b", every(split_right))
+    b = b.withColumn("_b", own(b, split_right)).withColumn("_a", every(split_left))
     joined = a.join(b, [name, "_a", "_b"], "inner").drop("_a", "_b")
     return joined.withColumn(name, F.col(name).cast("string"))

@@ -22,17 +22,23 @@ def threshold_prediction(score: Column | str, threshold: float = 0.5) -> Column:
 
 
 def accuracy(df: DataFrame, label: str, prediction: Column | str, by: Sequence[str] = ()) -> DataFrame:
-    """Share of rows whose prediction equals the label."""
-    hit = F.col(label) == as_column(prediction)
-    return df.groupBy(*by).agg(F.avg(hit.cast("double")).alias("accuracy"))
+    """Share of the labelled rows whose prediction equals the label; no prediction is a wrong one."""
+    return df.groupBy(*by).agg(_share(F.col(label) == as_column(prediction), F.col(label).isNotNull()))
+
+
+def _share(hit: Column, labelled: Column) -> Column:
+    return F.avg(F.when(labelled, F.coalesce(hit, F.lit(False)).cast("double"))).alias("accuracy")
 
 
 def accuracy_one_hot(df: DataFrame, labels: Sequence[str], predictions: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """A row counts when all its class columns agree."""
     hit = F.lit(True)
     for y, p in zip(labels, predictions, strict=True):
-        hit = hit & (F.col(y) == F.col(p))
-    return df.groupBy(*by).agg(F.avg(hit.cast("double")).alias("accuracy"))
+        hit = hit & F.coalesce(F.col(y) == F.col(p), F.lit(False))
+    labelled = F.lit(True)
+    for y in labels:
+        labelled = labelled & F.col(y).isNotNull()
+    return df.groupBy(*by).agg(_share(hit, labelled))
 
 
 def accuracy_scores(
@@ -40,7 +46,7 @@ def accuracy_scores(
 ) -> DataFrame:
     """Label is a class index (or Boolean for a single score column)."""
     hit = F.col(label).cast("int") == score_to_class(scores, threshold)
-    return df.groupBy(*by).agg(F.avg(hit.cast("double")).alias("accuracy"))
+    return df.groupBy(*by).agg(_share(hit, F.col(label).isNotNull()))
 
 
 def confusion_counts(
@@ -101,8 +107,12 @@ def _f1(precision: Column, recall: Column) -> Column:
 
 
 def binary_metrics(df: DataFrame, label: Column | str, prediction: Column | str, by: Sequence[str] = ()) -> DataFrame:
-    """Counts and the seven metrics of a Boolean prediction, from one conditional aggregation."""
+    """Counts and the seven metrics of a Boolean prediction, from one conditional aggregation.
+
+    Rows without a label are left out; a missing prediction counts as the wrong one.
+    """
     y, p = as_column(label).cast("boolean"), as_column(prediction).cast("boolean")
+    p = F.coalesce(p, ~y)
     counts = df.groupBy(*by).agg(
         F.count_if(p & y).alias("tp"),
         F.count_if(p & ~y).alias("fp"),
@@ -123,7 +133,8 @@ def _binary_rates(counts: DataFrame, by: Sequence[str]) -> DataFrame:
 
 
 def _binary_from_counts(counts: DataFrame, by: Sequence[str], positive: str) -> DataFrame:
-    y, p = F.col("label") == F.lit(positive), F.col("prediction") == F.lit(positive)
+    y = F.col("label") == F.lit(positive)
+    p = F.coalesce(F.col("prediction") == F.lit(positive), ~y)
 
     def total(condition: Column) -> Column:
         return F.coalesce(F.sum(F.when(condition, F.col("n"))), F.lit(0))
@@ -141,8 +152,10 @@ def binary_metrics_scores(
 def class_metrics(counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """One row per class from a long confusion table, each class against the rest.
 
-    A class that is never the truth or never predicted scores 0 on all five rates.
+    A class that is never the truth or never predicted scores 0 on all five rates. A missing
+    prediction is a wrong one and no class; rows without a label are left out.
     """
+    counts = counts.where(F.col("label").isNotNull())
     hit = F.when(F.col("label") == F.col("prediction"), F.col("n")).otherwise(0)
     sides = F.array(
         F.struct(F.col("label").alias("class"), F.col("n").alias("support"), F.lit(0).cast("long").alias("predicted"), hit.alias("tp")),
@@ -150,6 +163,7 @@ def class_metrics(counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     )
     per_class = (
         counts.select(*by, F.explode(sides).alias("_s"))
+        .where("_s.class IS NOT NULL")
         .groupBy(*by, F.col("_s.class").alias("class"))
         .agg(
             F.sum("_s.support").alias("support"),
@@ -225,12 +239,16 @@ def fold_summary(folds: DataFrame, by: Sequence[str], metrics: Sequence[str] = M
 
 def confusion_matrix(counts: DataFrame, classes: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """The long table as one array-of-arrays per group: rows are true classes, columns predicted."""
-    def cell(a: str, b: str) -> Column:
-        here = (F.col("label") == F.lit(str(a))) & (F.col("prediction") == F.lit(str(b)))
-        return F.coalesce(F.sum(F.when(here, F.col("n"))), F.lit(0))
+    names = F.array(*[F.lit(str(c)) for c in classes])
+    cells = F.map_from_entries(F.collect_list(F.struct(F.struct("label", "prediction"), F.col("n"))))
+    summed = counts.where(F.col("label").isin(*map(str, classes)) & F.col("prediction").isin(*map(str, classes)))
+    summed = summed.groupBy(*by, "label", "prediction").agg(F.sum("n").alias("n"))
+    found = summed.groupBy(*by).agg(cells.alias("_m"))
+
+    def cell(a: Column, b: Column) -> Column:
+        return F.coalesce(F.col("_m")[F.struct(a.alias("label"), b.alias("prediction"))], F.lit(0))
 
-    matrix = F.array(*[F.array(*[cell(a, b) for b in classes]) for a in classes])
-    return counts.groupBy(*by).agg(matrix.alias("cm"))
+    return found.select(*by, F.transform(names, lambda a: F.transform(names, lambda b: cell(a, b))).alias("cm"))
 
 
 def log_loss(df: DataFrame, label: str, probability: str, by: Sequence[str] = (), epsilon: float = 1e-15) -> DataFrame:

@@ -24,23 +24,25 @@ from tabloom.functions.expressions import (
 from tabloom.operators.columns import find_column, find_columns, numeric_columns
 from tabloom.operators.quantiles import column_quantiles, exact_quantiles, null_safe_join
 from tabloom.operators.scaling import impute_mean, sample_columns
+from tabloom.session import keep, stored
 
 # Name parts of representative features.
 SPECTRAL_SAMPLE = ("centroid", "bandwidth", "rolloff", "contrast")
 COMPARED_FEATURES = ("mfcc_mean", "centroid_mean", "bandwidth_mean", "zcr")
 
-FEW_GROUPS = 10_000  # groups whose statistics may be broadcast
-
 
 # --- quality -------------------------------------------------------------------------------
 
 
 def missing_report(df: DataFrame, top: int | None = 10) -> DataFrame:
-    """Columns with missing values: ``column_name, n_missing, pct_missing, n_rows``, most first."""
+    """Columns with missing values: ``column_name, n_missing, pct_missing, n_rows``, most first; NaN is missing."""
     names = df.columns
-    counted = df.agg(
-        F.count("*").alias("n_rows"), *[F.count_if(F.col(c).isNull()).alias(f"n_missing_{i}") for i, c in enumerate(names)]
-    )
+
+    def missing(c: str) -> Column:
+        floating = isinstance(df.schema[c].dataType, (T.DoubleType, T.FloatType))
+        return F.col(c).isNull() | F.isnan(c) if floating else F.col(c).isNull()
+
+    counted = df.agg(F.count("*").alias("n_rows"), *[F.count_if(missing(c)).alias(f"n_missing_{i}") for i, c in enumerate(names)])
     items = F.array(
         *[F.struct(F.lit(c).alias("column_name"), F.col(f"n_missing_{i}").alias("n_missing")) for i, c in enumerate(names)]
     )
@@ -267,15 +269,8 @@ def box_summary(
         *keys, "n", F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3")
     )
     reach = F.lit(float(whisker)) * (F.col("q3") - F.col("q1"))
+    # one row per group, whose stored size tells the planner how to join
     fenced = quartiles.withColumns({"_lo": F.col("q1") - reach, "_hi": F.col("q3") + reach})
-    groups = fenced.limit(FEW_GROUPS + 1).collect()
-    if len(groups) <= FEW_GROUPS:
-        # few groups: their fences go to the rows, which stay where they are
-        fenced = F.broadcast(df.sparkSession.createDataFrame(groups, fenced.schema))
-    else:
-        # many groups: equal values are counted together first, so a hot group is its distinct values
-        long = long.groupBy(*keys, "v").agg(F.count("*").alias("c"))
-    counted = F.col("c") if "c" in long.columns else F.lit(1)
     inside = F.col("v").between(F.col("_lo"), F.col("_hi"))
     return (
         null_safe_join(long, fenced, keys)
@@ -283,7 +278,7 @@ def box_summary(
         .agg(
             F.min(F.when(inside, F.col("v"))).alias("whisker_low"),
             F.max(F.when(inside, F.col("v"))).alias("whisker_high"),
-            F.coalesce(F.sum(F.when(~inside, counted)), F.lit(0)).cast("long").alias("n_outliers"),
+            F.count_if(~inside).alias("n_outliers"),
         )
         .select(*keys, "n", "whisker_low", "q1", "median", "q3", "whisker_high", "n_outliers")
     )
@@ -304,11 +299,14 @@ def compared_features(df: DataFrame, patterns: Sequence[str] = COMPARED_FEATURES
 def feature_by_category(df: DataFrame, category: str, features: Sequence[str] | None = None, top: int = 8) -> DataFrame:
     """Box numbers of features within the ``top`` categories; empty with a single category."""
     features = list(features) if features is not None else compared_features(df)
+    df = keep(df.select(category, *features))
     leaders = [r[0] for r in top_categories(df, category, top).collect()]
     if len(leaders) < 2:
         leaders = []
     chosen = df.where(F.col(category).isin(leaders) if leaders else F.lit(False))
-    return box_summary(chosen, features, by=(category,))
+    boxes = stored(box_summary(chosen, features, by=(category,)), "boxes")
+    df.unpersist()
+    return boxes
 
 
 # --- correlation ---------------------------------------------------------------------------

@@ -18,6 +18,7 @@ from tabloom.functions.expressions import as_column, order_key
 FIRST_PREFIX = 2  # hex digits of the first counting pass: 256 counters per stratum
 PREFIX_STEP = 3  # hex digits added by every further pass: 4,096 counters per wanted rank
 RANK_LIMIT = 100_000  # rows ranked together in the last pass
+MAX_STRATA = 1_000  # strata are class labels; more of them are an error
 
 
 def stratum_text(strata: Sequence[Column | str]) -> Column:
@@ -41,6 +42,10 @@ def cut_keys(
     per stratum and rank; strata are class labels.
     """
     rows = df.select(stratum_text(strata).alias("_s"), order_key(seed, *ids).alias("_k"))
+    if strata:
+        some = rows.select("_s").distinct().limit(MAX_STRATA + 1).count()
+        if some > MAX_STRATA:
+            raise ValueError(f"more than {MAX_STRATA} strata")
     counted = rows.groupBy("_s", F.substring("_k", 1, FIRST_PREFIX).alias("_p")).agg(F.count("*").alias("n"))
     buckets: dict[str, list[tuple[str, int]]] = {}
     for r in counted.collect():
@@ -68,7 +73,7 @@ def cut_keys(
         listed = [(s, p, i, r) for (s, i), (p, r, _) in wanted.items()]
         return F.broadcast(spark.createDataFrame(listed, "_s string, _p string, _i int, _r bigint"))
 
-    while max(n for _, _, n in wanted.values()) > rank_limit and digits < 32:
+    while True:
         longer = min(digits + PREFIX_STEP, 32)
         counts = (
             with_prefix(digits)
@@ -84,6 +89,8 @@ def cut_keys(
         )
         wanted = {(r["_s"], r["_i"]): (r["_q"], r["_r"] - (r["end"] - r["n"]), r["n"]) for r in located}
         digits = longer
+        if max(n for _, _, n in wanted.values()) <= rank_limit or digits == 32:
+            break
 
     # rows with an equal key are one entry, so a repeated key cannot grow the window
     keys = with_prefix(digits).groupBy("_s", "_p", "_k").agg(F.count("*").alias("n"))

@@ -17,8 +17,8 @@ from pyspark.ml.stat import Correlation, Summarizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabloom.functions.blocks import vector_map
-from tabloom.session import compact, keep
+from tabloom.functions.blocks import summed, vector_map
+from tabloom.session import dealt, keep
 
 
 class PrincipalComponents(Estimator):
@@ -103,6 +103,20 @@ def class_means(df: DataFrame, label: str, features: str = "features") -> DataFr
     return df.groupBy(label).agg(summary.alias("_s")).select(label, F.col("_s.count").alias("n"), F.col("_s.mean").alias("mean"))
 
 
+def _within_scatter(df: DataFrame, label: str, features: str, place: dict, means: np.ndarray) -> np.ndarray:
+    """Sum over rows of the outer product of the distance to the own class mean: no total minus between."""
+    width = means.shape[1]
+    names = F.array(*[F.lit(v) for v in place])
+    rows = df.select(vector_to_array(features).alias("x"), (F.array_position(names, F.col(label)) - 1).alias("y"))
+
+    def add(total, batch):
+        x = batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
+        away = x - means[batch.column(1).to_numpy(zero_copy_only=False).astype("int64")]
+        total += (away.T @ away).ravel()
+
+    return summed(rows, add, width * width).reshape(width, width)
+
+
 class LinearDiscriminants(Estimator):
     """Supervised projection that separates classes; at most K - 1 dimensions exist."""
 
@@ -112,13 +126,15 @@ class LinearDiscriminants(Estimator):
         self.out_dim, self.ridge = out_dim, ridge
 
     def _fit(self, df: DataFrame) -> LinearDiscriminantsModel:
-        groups = class_means(df.where(F.col(self.label).isNotNull()), self.label, self.features).collect()
+        df = df.where(F.col(self.label).isNotNull())
+        groups = class_means(df, self.label, self.features).collect()
         counts = np.array([g["n"] for g in groups], dtype=float)
         means = np.array([g["mean"].toArray() for g in groups])
         total, centre = counts.sum(), counts @ means / counts.sum()
         away = means - centre
         between = (away * counts[:, None]).T @ away
-        within = covariance_matrix(df, self.features) * (total - 1) - between
+        place = {g[self.label]: i for i, g in enumerate(groups)}
+        within = _within_scatter(df, self.label, self.features, place, means)
         width = within.shape[0]
         within = within + np.eye(width) * self.ridge * max(np.trace(within) / width, 1e-300)
         # whiten by the within-class scatter, then rotate to the directions of the class means
@@ -161,7 +177,7 @@ def kmeans_report(
 ) -> dict[str, DataFrame]:
     """Clusters of a prepared matrix: fit summary, sizes with shares, and a 2-D projection."""
     width = df.select(features).first()[0].size
-    rows = keep(compact(df.select(features), df.count(), width))
+    rows = keep(dealt(df.select(features), df.count(), width))
     model = KMeans(k=k, maxIter=max_iter, seed=seed, featuresCol=features, predictionCol="cluster").fit(rows)
     found, summary = model.summary.clusterSizes, model.summary
     total = sum(found)

@@ -133,8 +133,3 @@ def prepared_train_test(
     test = marked.where(F.col("split") == "test").drop("split")
     scaler = MinMax.fit(train, columns)
     return scaler.transform(train), scaler.transform(test), scaler
-
-
-def column_means(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Means of the valid numbers, one row."""
-    return df.agg(*[F.avg(valid_or_null(c)).alias(c) for c in columns])

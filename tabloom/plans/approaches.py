@@ -27,7 +27,7 @@ from tabloom.plans.evaluation import (
     stack_candidates,
     with_class_index,
 )
-from tabloom.session import compact, keep
+from tabloom.session import dealt, keep
 
 # The searched settings per model family.
 ANN_CONFIGS = tuple(
@@ -172,7 +172,7 @@ def run_approach(
     def indexed(df: DataFrame) -> DataFrame:
         return with_class_index(df, label, classes, "_y").select(key, "features", label, "_y")
 
-    base = keep(compact(indexed(train), rows, len(inputs)))
+    base = keep(dealt(indexed(train), rows, len(inputs)))
     train = keep(stratified_kfold(base, key, label, approach.folds, derived_seed(seed, "folds")))
     test = keep(indexed(test))
     configs = [(family, dict(s)) for family, listed in grids.items() for s in listed]

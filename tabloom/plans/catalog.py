@@ -146,8 +146,7 @@ m AS (SELECT 'event_type' AS column_name, n_rows - t AS n_missing, n_rows FROM c
   UNION ALL SELECT 'value', n_rows - v, n_rows FROM c)
 SELECT column_name, n_missing, ROUND(100.0::DOUBLE * n_missing / n_rows, 2) AS pct_missing, n_rows FROM m WHERE n_missing > 0""")
 def quality_report(spark, folder):
-    df = events_with_gaps(spark, folder).withColumn("value", E.valid_or_null("value"))
-    return R.quality_report(df)["missing"]
+    return R.quality_report(events_with_gaps(spark, folder))["missing"]
 
 
 @query("SELECT COUNT(*) AS n_rows, 6 AS n_columns FROM orders")
@@ -488,7 +487,7 @@ SELECT QUANTILE_CONT(value, 0.33) AS p33, QUANTILE_CONT(value, 0.5) AS p50, QUAN
 def exact_quantiles(spark, folder):
     from tabloom.operators.quantiles import exact_quantiles as quantiles
 
-    q = quantiles(table(spark, folder, "events"), "value", (0.33, 0.5, 0.66), inline_limit=1000)
+    q = quantiles(table(spark, folder, "events"), "value", (0.33, 0.5, 0.66), ranked=100)
     return q.select(*[F.col("q")[i].alias(n) for i, n in enumerate(("p33", "p50", "p66"))], "n")
 
 

@@ -22,7 +22,7 @@ from tabloom.plans import approaches as A
 from tabloom.plans import evaluation as V
 from tabloom.plans import report as RP
 from tabloom.plans.catalog import SEED, features, held_orders, query, rounded, table
-from tabloom.session import compact, keep, shared_folder
+from tabloom.session import dealt, keep, shared_folder
 from tabloom.sources import delimited as SRC
 
 # --- sources -------------------------------------------------------------------------------
@@ -34,13 +34,14 @@ def _header_file(spark, folder, lines):
 
 
 def _written_tracks(spark, folder):
-    """Orders as a headed tracks file: a header file and a folder of body files."""
+    """All orders as a headed tracks file; every third key is text, so that only two thirds meet a features key."""
     base = shared_folder(spark, "tracks")
     header = _header_file(
         spark, f"{base}/header", [",album,track,track,track", ",title,date_created,genre_top,listens", "track_id,,,,"]
     )
+    key = F.col("o_orderkey")
     orders = table(spark, folder, "orders").select(
-        "o_orderkey",
+        F.when(key % 3 == 0, F.concat(F.lit("T"), key.cast("string"))).otherwise(key.cast("string")),
         F.concat(F.lit("a, "), "o_orderstatus"),
         F.date_format("o_orderdate", "yyyy-MM-dd"),
         F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_orderpriority")),
@@ -57,8 +58,7 @@ def _written_features(spark, folder):
         f"{base}/header",
         ["feature,mfcc,mfcc,tonnetz", "statistics,mean,mean,std", "number,01,02,01", "track_id,,,"],
     )
-    orders = table(spark, folder, "orders").where("o_orderkey % 3 > 0")
-    orders.select(
+    table(spark, folder, "orders").select(
         "o_orderkey",
         F.round(F.col("o_totalprice") / 100, 4),
         F.when(F.col("o_orderstatus") == "F", F.lit("NaN")).otherwise(F.col("o_custkey").cast("string")),
@@ -67,8 +67,11 @@ def _written_features(spark, folder):
     return f"{base}/body", {"header_path": header}
 
 
-@query("""
-SELECT o_orderkey AS track_id, NULLIF(o_orderpriority, '5-LOW') AS track_genre_top, ROUND(o_totalprice, 2) AS track_listens FROM orders""")
+TRACK_KEY = "CASE WHEN o_orderkey % 3 = 0 THEN 'T' || o_orderkey::VARCHAR ELSE o_orderkey::VARCHAR END"
+
+
+@query(f"""
+SELECT {TRACK_KEY} AS track_id, NULLIF(o_orderpriority, '5-LOW') AS track_genre_top, ROUND(o_totalprice, 2) AS track_listens FROM orders""")
 def scan_tracks(spark, folder):
     path, options = _written_tracks(spark, folder)
     return SRC.read_tracks(spark, path, ["genre_top", "listens"], **options)
@@ -76,15 +79,31 @@ def scan_tracks(spark, folder):
 
 @query("""
 SELECT o_orderkey AS track_id, ROUND(o_totalprice / 100, 4) AS mfcc_mean_01,
-  CASE WHEN o_orderstatus = 'F' THEN 'NaN'::DOUBLE ELSE o_custkey::DOUBLE END AS mfcc_mean_02 FROM orders WHERE o_orderkey % 3 > 0""")
+  CASE WHEN o_orderstatus <> 'F' THEN o_custkey::DOUBLE END AS mfcc_mean_02 FROM orders""")
 def scan_features(spark, folder):
     path, options = _written_features(spark, folder)
-    return SRC.read_features(spark, path, ["mfcc"], **options)
+    return SRC.read_features(spark, path, ["mfcc"], key_type="bigint", **options)
+
+
+@query("""
+SELECT CASE o_orderkey % 4 WHEN 0 THEN 'A' || o_orderkey::VARCHAR WHEN 1 THEN '00' || o_orderkey::VARCHAR WHEN 2 THEN o_orderkey::VARCHAR END AS track_id,
+  o_custkey::BIGINT AS track_listens FROM orders""")
+def scan_text_keys(spark, folder):
+    """Keys that are no numbers, have leading zeros or are missing: every line below the headers is a row."""
+    base = shared_folder(spark, "text-keys")
+    header = _header_file(spark, f"{base}/header", [",track", ",listens", "track_id,"])
+    key = F.col("o_orderkey").cast("string")
+    kind = F.col("o_orderkey") % 4
+    named = F.when(kind == 0, F.concat(F.lit("A"), key)).when(kind == 1, F.concat(F.lit("00"), key)).when(kind == 2, key)
+    headed = spark.createDataFrame([("", "track"), ("", "listens"), ("track_id", "")], "k string, v string")
+    # the header lines stand in the body files too
+    headed.unionByName(table(spark, folder, "orders").select(named.alias("k"), F.col("o_custkey").cast("string").alias("v"))).write.csv(f"{base}/body")
+    return SRC.read_tracks(spark, f"{base}/body", header_path=header)
 
 
 @query("""
 SELECT o_orderkey::VARCHAR AS track_id, ROUND(o_totalprice, 2) AS track_listens,
-  CASE WHEN o_orderstatus <> 'O' THEN 1.5::DOUBLE END AS tonnetz_std_01 FROM orders WHERE o_orderkey % 3 > 0""")
+  CASE WHEN o_orderstatus <> 'O' THEN 1.5::DOUBLE END AS tonnetz_std_01 FROM orders WHERE o_orderkey % 3 > 0""")  # the others have text keys in one of the files
 def scan_and_join(spark, folder):
     tracks, tracks_options = _written_tracks(spark, folder)
     feats, feats_options = _written_features(spark, folder)
@@ -94,16 +113,22 @@ def scan_and_join(spark, folder):
 
 
 @query("""
-SELECT COUNT(*) AS n_rows, COUNT(*) FILTER (o_orderpriority <> '5-LOW') AS n_genre, MIN(STRFTIME(o_orderdate, '%Y-%m-%d')) AS first_day FROM orders""")
+SELECT 'tracks' AS part, COUNT(*) AS n_rows, COUNT(*) FILTER (o_orderpriority <> '5-LOW') AS n_known, MIN(STRFTIME(o_orderdate, '%Y-%m-%d')) AS least FROM orders
+UNION ALL SELECT 'features', COUNT(*), COUNT(*) FILTER (o_orderstatus <> 'F'), MIN(o_custkey) FILTER (o_orderstatus <> 'F')::BIGINT::VARCHAR FROM orders""")
 def scan_three_header_rows(spark, folder):
     tracks, tracks_options = _written_tracks(spark, folder)
     feats, feats_options = _written_features(spark, folder)
-    df, _ = SRC.read_datasets(
+    df, numbers = SRC.read_datasets(
         spark, tracks, feats, SRC.HeaderLayout(3, (0, 1, 2)), tracks_options, feats_options
     )
     genre = next(c for c in df.columns if "genre_top" in c)
     day = next(c for c in df.columns if "date_created" in c)
-    return df.agg(F.count("*").alias("n_rows"), F.count(genre).alias("n_genre"), F.min(day).alias("first_day"))
+    second = next(c for c in numbers.columns if c.endswith("mean_02"))
+    half = df.agg(F.lit("tracks").alias("part"), F.count("*").alias("n_rows"), F.count(genre).alias("n_known"), F.min(day).cast("string").alias("least"))
+    other = numbers.agg(
+        F.lit("features").alias("part"), F.count("*").alias("n_rows"), F.count(second).alias("n_known"), F.min(second).cast("bigint").cast("string").alias("least")
+    )
+    return half.unionByName(other)
 
 
 @query("SELECT l_quantity AS _c0, l_discount AS _c1, l_returnflag AS _c2, l_returnflag = 'R' AS returned FROM lineitem")
@@ -356,6 +381,16 @@ def knn_predict(spark, folder):
     return model.transform(test).select("vec_id", "label", "prediction")
 
 
+@query(f"""
+WITH {NEIGHBOURS} SELECT vec_id, rank::INT AS rank, ROUND(distance, 6) AS distance, neighbour, neighbour_label::DOUBLE AS neighbour_label
+FROM n WHERE rank <= 7""")
+def knn_exact(spark, folder):
+    """The exact way, with several cells."""
+    train, test = held_vectors(spark, folder)
+    settings = {"n_neighbors": 7, "exact": True, "pivots": 8}
+    return rounded(get_model("KNN", settings, Columns(10, "vec_id", "features", "label", SEED)).fit(train).neighbours(test))
+
+
 # --- selection -----------------------------------------------------------------------------
 
 RULES = """
@@ -461,7 +496,7 @@ def _folded(data, k=2):
 
 @query()
 def cv_grid(spark, folder):
-    """Two families, two settings each, over stratified folds."""
+    """Two families, two settings and one, over stratified folds."""
     df, classes, columns = _folded(documents_by_language, 3)(spark, folder)
     configs = [
         ("DT", {"max_depth": 7, "min_samples_leaf": 20}),
@@ -538,7 +573,7 @@ def flagship(spark, folder):
     classes = ["High", "Low", "Medium"]
     train, test, _ = A.prepare(train, test, inputs, "label", A.APPROACHES["reduced"])
     train, test = (V.with_class_index(d, "label", classes, "y") for d in (train, test))
-    train = compact(train.select("features", "y"), train.count(), len(inputs))
+    train = dealt(train.select("features", "y"), train.count(), len(inputs))
     tree = get_model("DT", {"max_depth": 7, "min_samples_leaf": 20}, Columns(3, "row", "features", "y", SEED))
     scored = tree.fit(train).transform(test)
     return multiclass_metrics(scored, "label", V.class_name(F.col("prediction"), classes))

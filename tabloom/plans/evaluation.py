@@ -24,11 +24,12 @@ from tabloom.functions.expressions import argmax_index, derived_seed, uniform_ha
 from tabloom.models.registry import MODEL_NAMES, Columns, get_model
 from tabloom.operators.metrics import METRICS, averaged_metrics, confusion_matrix, fold_summary, log_loss
 from tabloom.operators.splits import holdout
-from tabloom.session import compact, cut_lineage, keep
+from tabloom.session import cut_lineage, dealt, keep
 
 COUNTS = "family string, config_index int, config string, fold int, execution int, label string, prediction string, n bigint"
 
 PLAN_MODELS = 25  # fitted models applied within one plan
+UNSEEN = "(unseen)"
 
 # Tuned settings and their five grid points.
 TUNING_GRIDS = {
@@ -66,9 +67,13 @@ def with_class_index(df: DataFrame, label: str, classes: Sequence[str], output:
 
 
 def collected_counts(df: DataFrame, label: str, classes: Sequence[str]) -> list[tuple]:
-    """Confusion counts of one scored frame as driver rows; at most K x K of them."""
+    """Confusion counts of one scored frame as driver rows; at most (K + 1) x K of them.
+
+    A label that training did not know is a class of its own, ``UNSEEN``, which is never predicted.
+    """
     counts = df.groupBy(F.col(label).cast("int").alias("y"), F.col("prediction").cast("int").alias("p")).count()
-    return [(classes[r["y"]], classes[r["p"]], r["count"]) for r in counts.collect()]
+    names = dict(enumerate(classes))
+    return [(names.get(r["y"], UNSEEN), names.get(r["p"]), r["count"]) for r in counts.collect()]
 
 
 def fold_counts(
@@ -91,7 +96,7 @@ def fold_counts(
     total = sum(sizes.values())
     width = data.select(columns.features).first()[0].size
     if not df.is_cached:
-        data = keep(compact(data, total, width))
+        data = keep(dealt(data, total, width))
 
     def one(index: int, family: str, settings: Mapping, k: int, execution: int) -> Callable[[], list[tuple]]:
         def task():
@@ -258,6 +263,7 @@ class Bagging(Estimator):
                 mean = total.withColumn("_mean", F.transform("_p", lambda p: p / F.lit(float(n))))
                 losses.append((n, log_loss(mean, c.label, "_mean").first()[0]))
             held.unpersist()
+            release(models)
             size = min(losses, key=lambda t: (t[1], t[0]))[0]
         return BaggingModel(self._models(df, size), c, losses)
 
@@ -277,6 +283,9 @@ class BaggingModel(Model):
         super().__init__()
         self.models, self.columns, self.losses = list(models), columns, list(losses)
 
+    def unpersist(self) -> None:
+        release(self.models)
+
     def _transform(self, df: DataFrame) -> DataFrame:
         c, n = self.columns, float(len(self.models))
         summed = _summed(df, [], c, None)
@@ -316,8 +325,10 @@ class Stacking(Estimator):
                 [lambda n=n, s=s: get_model(n, s, c).fit(part) for n, s in self.bases], self.parallelism, spark
             )
 
-        level = _stacked_inputs(held, fit(train), c)
+        first = fit(train)
+        level = _stacked_inputs(held, first, c)
         top = LogisticRegression(featuresCol="_stack", labelCol=c.label, family="auto").fit(level)
+        release(first)
         bases = fit(marked.drop("_side"))
         marked.unpersist()
         return StackingModel(bases, top, c)
@@ -333,11 +344,21 @@ def _stacked_inputs(df: DataFrame, models: Sequence[Model], c: Columns) -> DataF
     return VectorAssembler(inputCols=names, outputCol="_stack").transform(df).drop(*names)
 
 
+def release(models: Iterable[Model]) -> None:
+    """Drop the tables that fitted models keep."""
+    for m in models:
+        if hasattr(m, "unpersist"):
+            m.unpersist()
+
+
 class StackingModel(Model):
     def __init__(self, bases: Sequence[Model], top: Model, columns: Columns):
         super().__init__()
         self.bases, self.top, self.columns = list(bases), top, columns
 
+    def unpersist(self) -> None:
+        release(self.bases)
+
     def _transform(self, df: DataFrame) -> DataFrame:
         return self.top.transform(_stacked_inputs(df, self.bases, self.columns)).drop("_stack", "rawPrediction")
 

@@ -60,21 +60,23 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{spark.sparkContext.getCheckpointDir().rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-SMALL_VALUES = 200_000_000  # numbers in an input that is cheap to deal out again
-VALUES_PER_PARTITION = 500_000
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` to the shared folder and read it again; the planner then knows its size."""
+    path = shared_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def compact_partitions(rows: int, width: int) -> int | None:
-    """Partitions for a small input of an iterative fit; None for an input to be left as it is."""
-    values = rows * max(width, 1)
-    return max(1, -(-values // VALUES_PER_PARTITION)) if values <= SMALL_VALUES else None
+VALUES_PER_PARTITION = 500_000
 
 
-def compact(df: DataFrame, rows: int, width: int) -> DataFrame:
-    """Deal a small input out evenly over as few partitions as it needs.
+def dealt(df: DataFrame, rows: int, width: int, partitions: int | None = None) -> DataFrame:
+    """Deal the input of an iterative fit out evenly, by a hash of its rows.
 
-    Every step of an iterative fit is a job, so a small input should neither sit in hundreds of
-    tiny partitions nor in one that a single-file scan gave. Large inputs are not moved.
+    Every step of such a fit is a job over all rows, so they should sit neither in hundreds of tiny
+    partitions nor in the one that a single-file scan gave. The partitions hold about
+    ``VALUES_PER_PARTITION`` numbers each unless their number is given; which rows share a
+    partition depends on the rows alone, whatever the size.
     """
-    parts = compact_partitions(rows, width)
-    return df if parts is None else df.repartition(parts)
+    parts = partitions or max(1, -(-rows * max(width, 1) // VALUES_PER_PARTITION))
+    return df.repartition(parts, *df.columns)

@@ -14,7 +14,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -69,6 +69,21 @@ def column_names(header: Sequence[Sequence[str]], layout: HeaderLayout) -> list[
     return names
 
 
+def _typed(cell: Column, kind: str) -> Column:
+    """A text cell in its type; the missing tokens and, for numbers, unparsable cells become null."""
+    known = missing_to_null(cell)
+    return known if kind == "string" else known.try_cast(kind)
+
+
+def _key(cell: Column, name: str, kind: str) -> Column:
+    """The key in its type; a key that is there but does not parse is an error."""
+    if kind == "string":
+        return cell
+    parsed = cell.try_cast(kind)
+    message = F.concat(F.lit(f"{name} does not parse as {kind}: "), cell)
+    return F.when(cell.isNotNull() & parsed.isNull(), F.raise_error(message).cast(kind)).otherwise(parsed)
+
+
 def read_multi_header(
     spark: SparkSession,
     path: str,
@@ -76,37 +91,45 @@ def read_multi_header(
     wanted: Sequence[str] | None = None,
     types: Mapping[str, str] | None = None,
     default_type: str = "string",
-    key_type: str = "bigint",
+    key_type: str = "string",
     header_path: str | None = None,
     separator: str = ",",
     multi_line: bool = False,
 ) -> DataFrame:
     """Read a delimited file below its header rows, keeping the key and the wanted columns.
 
-    The key must parse as ``key_type``: header lines do not, which is how they are dropped
-    wherever a file or split starts. ``types`` maps a column name to its type; unparsable
-    cells and the missing tokens become null.
+    Every line becomes a row but the header lines, which are known by their cells (those of the
+    columns read) wherever a file or split starts, and the line that holds nothing but the key's
+    name. The key is text unless ``key_type`` says otherwise. ``types`` maps a column name to its
+    type; unparsable cells and the missing tokens become null.
     """
     header = header_rows(spark, header_path or path, layout.rows, separator)
     names = column_names(header[: max(layout.name_rows) + 1], layout)
     types = dict(types or {})
-
-    def kind(name: str) -> str:
-        return key_type if name == layout.key else types.get(name, default_type)
-
-    schema = ", ".join(f"`{n}` {kind(n)}" for n in names)
-    reader = (
-        spark.read.schema(schema)
-        .option("sep", separator)
-        .option("header", False)
-        .option("mode", "PERMISSIVE")
-        .option("multiLine", multi_line)
-    )
     require_path(spark, path)
-    body = reader.csv(path).where(F.col(f"`{layout.key}`").isNotNull())
+    reader = spark.read.schema(", ".join(f"`{n}` string" for n in names)).option("sep", separator)
+    body = reader.option("header", False).option("mode", "PERMISSIVE").option("multiLine", multi_line).csv(path)
     chosen = [n for n in (wanted if wanted is not None else names) if n != layout.key]
-    columns = [missing_to_null(n).alias(n) if kind(n) == "string" else F.col(f"`{n}`") for n in chosen]
-    return body.select(F.col(f"`{layout.key}`"), *columns)
+    place = {n: i for i, n in enumerate(names)}
+    read = [layout.key, *chosen]
+
+    def cell(name: str) -> Column:
+        return F.trim(F.coalesce(F.col(f"`{name}`"), F.lit("")))
+
+    def same(texts: Sequence[str]) -> Column:
+        found = F.lit(True)
+        for name, text in zip(read, texts):
+            found = found & (cell(name) == F.lit(text))
+        return found
+
+    headers = [[(row[place[n]] if place[n] < len(row) else "") for n in read] for row in header]
+    headers.append([layout.key] + [""] * len(chosen))
+    is_header = F.lit(False)
+    for texts in dict.fromkeys(map(tuple, headers)):
+        if any(texts):
+            is_header = is_header | same(texts)
+    columns = [_typed(F.col(f"`{n}`"), types.get(n, default_type)).alias(n) for n in chosen]
+    return body.where(~is_header).select(_key(F.col(f"`{layout.key}`"), layout.key, key_type).alias(layout.key), *columns)
 
 
 def infer_types(df: DataFrame, columns: Sequence[str]) -> dict[str, str]:

@@ -99,3 +99,24 @@ def test_weighted_recall_is_accuracy(spark):
 
 def test_half_even():
     assert [half_even(v) for v in (0.5, 1.5, 2.5, 2.51, 30.0)] == [0, 2, 2, 3, 30]
+
+
+def test_a_missing_prediction_is_wrong(spark):
+    df = spark.createDataFrame([("a", "a"), ("b", None), (None, "a"), ("a", "a")], WIDE)
+    assert M.accuracy(df, "y", "p").first()[0] == pytest.approx(2 / 3)
+    whole = M.multiclass_metrics(df, "y", "p").first()
+    assert whole["accuracy"] == pytest.approx(2 / 3) and whole["recall"] == pytest.approx(2 / 3)
+    flags = df.select((F.col("y") == "a").alias("y"), (F.col("p") == "a").alias("p"))
+    row = M.binary_metrics(flags, "y", "p").first()
+    assert (row["tp"], row["fp"], row["fn"], row["tn"]) == (2, 1, 0, 0)
+    positive = M.multiclass_metrics(df, "y", "p", positive="a").first()
+    assert positive["accuracy"] == pytest.approx(2 / 3)
+    hot = spark.createDataFrame([(True, False, True, None), (True, False, True, False)], "a boolean, b boolean, c boolean, d boolean")
+    assert M.accuracy_one_hot(hot, ["a", "b"], ["c", "d"]).first()[0] == 0.5
+
+
+def test_an_unseen_label_is_counted_and_never_predicted(spark):
+    from tabloom.plans.evaluation import UNSEEN, collected_counts
+
+    df = spark.createDataFrame([(0.0, 0.0), (None, 0.0), (1.0, 1.0)], "y double, prediction double")
+    assert sorted(collected_counts(df, "y", ["a", "b"])) == [(UNSEEN, "a", 1), ("a", "a", 1), ("b", "b", 1)]

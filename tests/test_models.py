@@ -5,10 +5,12 @@ import pytest
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
-from tabloom.models.adaboost import AdaBoost
+from tabloom.models.adaboost import AdaBoost, AdaBoostModel, Stump
 from tabloom.models.neighbours import NearestNeighbours
+from tabloom.models.network import NeuralNetwork
 from tabloom.models.registry import Columns, get_model, tree_depth
 from tabloom.operators import reduction as D
+from tabloom.operators.reduction import LinearDiscriminants
 from tabloom.operators.splits import holdout, stratified_kfold
 from tabloom.plans import approaches as A
 from tabloom.plans import evaluation as V
@@ -88,9 +90,10 @@ def test_registry_errors():
         get_model("Nope")
     with pytest.raises(ValueError, match="kernel"):
         get_model("SVC", {"kernel": "laplace"})
-    with pytest.warns(UserWarning):
-        assert tree_depth(99) == 30
-    assert tree_depth(-1) == 30
+    with pytest.raises(ValueError, match="99"):
+        tree_depth(99)
+    with pytest.warns(UserWarning, match="30"):
+        assert tree_depth(-1) == 30
 
 
 def test_svm_matches_the_exact_optimum(spark):
@@ -115,15 +118,15 @@ def test_learning_rate_matters(three):
     assert slow.stumps[0].weight == pytest.approx(fast.stumps[0].weight / 2)
 
 
-@pytest.mark.parametrize("block,k", [(5, 3), (40, 7), (20_000, 50)])
-def test_neighbours_are_exact_under_skew(spark, block, k):
+@pytest.mark.parametrize("exact,block,k", [(True, 5, 3), (True, 40, 7), (True, 20_000, 50), (False, 5, 3), (False, 5, 50)])
+def test_neighbours_are_exact_under_skew(spark, exact, block, k):
     """A third of the training rows are copies of one point; blocks are far smaller than the group."""
     rng = np.random.default_rng(1)
     x = np.round(rng.normal(0, 1, (150, 3)), 3)
     x[:50] = x[0]
     y = rng.integers(0, 3, 150)
     q = np.vstack([x[:2], rng.normal(0, 2, (30, 3)), np.full((20, 3), 0.25)])
-    model = NearestNeighbours(3, k, block_rows=block).fit(frame(spark, x, y))
+    model = NearestNeighbours(3, k, exact=exact, block_rows=block, pivots=6).fit(frame(spark, x, y))
     queries = frame(spark, q, np.zeros(len(q)), 1000)
     got = {}
     for r in model.neighbours(queries).collect():
@@ -283,3 +286,53 @@ def test_adaboost_follows_the_definition(spark):
 def test_adaboost_without_any_cut(spark):
     df = frame(spark, np.ones((9, 2)), [0, 0, 0, 0, 0, 1, 1, 1, 1])
     assert {r["prediction"] for r in AdaBoost(2, 3).fit(df).transform(df).collect()} == {0.0}
+
+
+def test_a_column_of_rounding_errors_is_constant(spark):
+    """A feature that is constant but for its last bit must not stop the others from being learned."""
+    x = np.column_stack([np.repeat([0.0, 1.0], 20), np.full(40, -1.5491933384829666)])
+    x[::3, 1] = np.nextafter(x[::3, 1], 0)
+    y = np.repeat([0, 1], 20)
+    model = get_model("SVC", {"kernel": "linear", "cost": 10.0}, Columns(2)).fit(frame(spark, x, y))
+    assert [r["prediction"] for r in model.transform(frame(spark, x, y)).orderBy("id").collect()] == y.tolist()
+
+
+def test_a_thousand_stumps_score(spark):
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(100, 2))
+    stumps = tuple(Stump(int(i % 2), 0, float(t), int(i % 3), int((i + 1) % 3), 0.5) for i, t in enumerate(rng.normal(size=1000)))
+    scored = AdaBoostModel(stumps, 3, "features").transform(frame(spark, x, np.zeros(100))).orderBy("id").collect()
+    votes = np.zeros((100, 3))
+    for s in stumps:
+        low = x[:, s.feature] <= s.threshold
+        votes[low, s.left] += s.weight
+        votes[~low, s.right] += s.weight
+    assert [int(r["prediction"]) for r in scored] == votes.argmax(axis=1).tolist()
+    assert np.allclose([r["probability"].toArray() for r in scored], votes / 500)
+
+
+def test_network_learning_rate_counts(three):
+    train, _ = parts(three)
+    weights = [NeuralNetwork(3, [4], max_epochs=5, learning_rate=r, seed=1).fit(train).fitted.weights.toArray() for r in (1e-6, 0.5)]
+    assert not np.allclose(*weights)
+    with pytest.raises(ValueError, match="l-bfgs"):
+        NeuralNetwork(3, learning_rate=0.1, solver="l-bfgs")
+
+
+def test_block_of_training_rows_is_bounded(spark):
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(300, 2))
+    y = np.repeat([0, 1, 2], [30, 90, 180])
+    model = NearestNeighbours(3, 3, max_train_rows=100).fit(frame(spark, x, y))
+    kept = np.bincount(model.block["_ty"].to_numpy().astype(int))
+    assert kept.tolist() == [10, 30, 60]
+    assert "CoGroup" not in model.transform(frame(spark, x, y))._jdf.queryExecution().executedPlan().toString()
+
+
+def test_discriminant_leaves_unlabelled_rows_out(spark):
+    rng = np.random.default_rng(3)
+    x = np.vstack([rng.normal(0, 1, (50, 2)), rng.normal(4, 1, (50, 2))])
+    df = frame(spark, x, np.repeat([0, 1], 50))
+    far = frame(spark, rng.normal(500, 100, (30, 2)), np.zeros(30)).withColumn("label", F.lit(None).cast("double"))
+    one, both = (LinearDiscriminants().fit(d).weights for d in (df, df.unionByName(far)))
+    assert np.allclose(one, both)

@@ -97,13 +97,13 @@ def test_quantiles_are_exact_on_skewed_data(spark, limit):
     rows = [(str(g), float(v)) for g, v in zip(groups, values)] + [("cold", None), ("hot", float("nan")), (None, 1.0), (None, 2.0)]
     df = spark.createDataFrame(rows, "g string, v double").repartition(5)
     probs = (0.0, 0.1, 0.33, 0.5, 0.66, 0.999, 1.0)
-    got = {r["g"]: r for r in exact_quantiles(df, "v", probs, by=["g"], inline_limit=limit).collect()}
+    got = {r["g"]: r for r in exact_quantiles(df, "v", probs, by=["g"], ranked=limit).collect()}
     for g in ("hot", "cold"):
         mine = values[groups == g]
         assert got[g]["n"] == len(mine)
         assert got[g]["q"] == pytest.approx(np.quantile(mine, probs).tolist())
     assert got[None]["q"] == pytest.approx(np.quantile([1.0, 2.0], probs).tolist())
-    alone = exact_quantiles(df.where("g is not null"), "v", probs, inline_limit=limit).first()
+    alone = exact_quantiles(df.where("g is not null"), "v", probs, ranked=limit).first()
     assert alone["q"] == pytest.approx(np.quantile(values, probs).tolist())
 
 
