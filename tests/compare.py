@@ -16,6 +16,13 @@ def connect(folder: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
+def check_plan(name: str, df) -> None:
+    """No pair-wise join; groups of two tables meet in one task only where that is the way asked for."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+    assert "CoGroup" not in plan or name == "knn_exact"
+
+
 def _plain(value):
     if isinstance(value, bool) or value is None or isinstance(value, str):
         return repr(value)

@@ -16,7 +16,9 @@ def con():
 
 @pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
 def test_query_matches_sql(spark, con, name):
-    assert compare.difference(entry.queries()[name](spark, FOLDER), con, entry.oracle_sql()[name]) is None
+    df = entry.queries()[name](spark, FOLDER)
+    compare.check_plan(name, df)
+    assert compare.difference(df, con, entry.oracle_sql()[name]) is None
 
 
 def test_every_oracle_has_a_query():

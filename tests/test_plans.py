@@ -3,6 +3,7 @@
 import importlib
 import re
 
+import compare
 import pytest
 from pyspark.sql import functions as F
 
@@ -20,12 +21,10 @@ def final_plan(df):
     return re.sub(r"== Initial Plan ==.*?(?=== Final|\Z)", "", text, flags=re.S)
 
 
-@pytest.mark.parametrize("name", sorted(entry.plain_queries()))
+@pytest.mark.parametrize("name", sorted(set(entry.plain_queries()) - set(entry.oracle_sql())))
 def test_no_pairwise_join(spark, name):
-    df = entry.plain_queries()[name](spark, FOLDER)
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
-    assert "CoGroup" not in plan or name == "knn_exact"
+    """The queries without SQL; the others are checked where they are compared."""
+    compare.check_plan(name, entry.plain_queries()[name](spark, FOLDER))
 
 
 def test_splits_do_not_shuffle_rows(spark):
