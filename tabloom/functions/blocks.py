@@ -14,13 +14,11 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-GROUPS = 64  # partial sums are first added up in so many groups
-
 
 def summed(data: DataFrame, add: Callable, length: int) -> np.ndarray:
     """Sum of an array of ``length`` numbers that ``add(total, batch)`` fills per partition.
 
-    Executors add the partial sums up in two steps; one array reaches the driver.
+    Executors add the partial sums up as they arrive; one array reaches the driver.
     """
 
     def partial(batches):
@@ -35,8 +33,7 @@ def summed(data: DataFrame, add: Callable, length: int) -> np.ndarray:
         yield pyarrow.RecordBatch.from_arrays([flat], ["v"])
 
     found = data.mapInArrow(partial, "v array<double>")
-    group = F.pmod(F.spark_partition_id(), F.lit(GROUPS)).alias("g")
-    sums = found.select(array_to_vector("v").alias("v"), group).groupBy("g").agg(Summarizer.sum(F.col("v")).alias("v"))
+    sums = found.select(array_to_vector("v").alias("v"))
     return sums.agg(Summarizer.sum(F.col("v")).alias("v")).first()["v"].toArray()
 
 

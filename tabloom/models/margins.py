@@ -80,7 +80,7 @@ class SupportVectorMachine(Estimator):
 
     def __init__(
         self, classes, kernel="sigmoid", cost=1.0, gamma=0.1, degree=3, coef0=0.0, components=200,
-        max_iter=200, tol=1e-4, features="features", label="label", seed=0,
+        max_iter=200, tol=1e-3, features="features", label="label", seed=0,
     ):
         super().__init__()
         if kernel not in KERNELS:

@@ -70,7 +70,7 @@ def get_model(name: str, settings: Mapping | None = None, columns: Columns | Non
     own = {"features": c.features, "label": c.label, "seed": c.seed}
     if kind in ("SVC", "SVCProbabilistic"):
         chosen = {k: s.get(k, v) for k, v in KERNEL_DEFAULTS.items()}
-        svm = SupportVectorMachine(c.classes, components=s.get("components", 200), max_iter=s.get("max_iter", 200), tol=s.get("tol", 1e-4), **chosen, **own)
+        svm = SupportVectorMachine(c.classes, components=s.get("components", 200), max_iter=s.get("max_iter", 200), tol=s.get("tol", 1e-3), **chosen, **own)
         return svm if kind == "SVC" else CalibratedMargins(svm, c.key, c.label, seed=c.seed)
     if kind == "DecisionTreeClassifier":
         return DecisionTreeClassifier(

@@ -30,7 +30,7 @@ class SquaredHinge(Estimator):
     thousandth of ``tol`` of the objective; after ``max_iter`` steps without either it warns.
     """
 
-    def __init__(self, classes, cost=1.0, max_iter=200, tol=1e-4, features="features", label="label"):
+    def __init__(self, classes, cost=1.0, max_iter=200, tol=1e-3, features="features", label="label"):
         super().__init__()
         self.classes, self.cost, self.max_iter, self.tol = classes, float(cost), max_iter, tol
         self.features, self.label = features, label
