@@ -27,7 +27,7 @@ def op4_topk(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op5_lm_score(spark: SparkSession, folder: str) -> DataFrame:
-    return ppm.scored(table(spark, folder, "documents"))
+    return ppm.scored(table(spark, folder, "documents"), pruned=False)
 
 
 def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:

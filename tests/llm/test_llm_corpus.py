@@ -169,6 +169,23 @@ def test_language_model(spark):
             assert a[:4] == b[:4] and a[4] == pytest.approx(b[4], rel=1e-9) and a[5] == pytest.approx(b[5], rel=1e-5)
 
 
+@pytest.mark.parametrize("trie_contexts", [40, 1_000, 65_536])
+def test_language_model_counts_every_context(spark, monkeypatch, trie_contexts):
+    rows = fixtures.rows(150)
+    with monkeypatch.context() as m:
+        m.setattr(ppm, "FREQUENT", 1 << 40)  # for the plain version: a context seen once counts
+        score = plain_ppm(rows)
+    monkeypatch.setattr(ppm, "FREQUENT", trie_contexts)
+    found, wanted = collections.defaultdict(list), collections.defaultdict(list)
+    for r in ppm.scored(fixtures.documents(spark, 150), pruned=False).collect():
+        found[r.doc_id].append(r.score)
+    for r in rows:
+        wanted[r[0]].append(score(r[1]))
+    assert found.keys() == wanted.keys()
+    for i in wanted:
+        assert sorted(found[i]) == pytest.approx(sorted(wanted[i]), rel=1e-5)
+
+
 def test_language_model_without_rows(spark):
     assert ppm.scored(fixtures.none(spark)).collect() == []
     alone = next(i for i in range(100) if held(i, 10))  # nothing to learn from
