@@ -1,13 +1,15 @@
-"""Benchmark decontamination with spaced seeds.
+"""Benchmark decontamination with seeds that lose nothing.
 
-A seed is a hash of the words at the marked positions of a fixed mask; the positions between may differ, so
-a substituted word spoils few seeds. Seeds of all places of all items meet those of all places of all
-documents in an equality join. Every hit names an item and a diagonal (place in the document minus place in
-the item); around it the two word sequences are laid side by side, and the diagonal counts if some window of
-``WINDOW`` words (the whole item, if shorter) agrees in at least ``SIMILAR`` of its words.
+An item counts as found on a diagonal (place in the document minus place in the item) if some window of
+``WINDOW`` of its words (all of them, if it is shorter) agrees in at least ``SIMILAR`` of its places. The
+unequal words of such a window leave equal words in a row, and by the pigeonhole principle some row has at
+least ``row_length`` of them. So the hashes of that many words in a row, at all places of all items, meet those of all documents in an
+equality join; of the hits of one row only the first is kept, and around it the two word sequences are laid
+side by side.
 
-Words are maximal runs of letters and digits, lower-cased. Items shorter than the shortest mask are found by
-a mask of their own length; items under ``LEAST`` words are too short to tell and find nothing.
+Words are maximal runs of letters and digits, lower-cased. Items under ``LEAST`` words are too short to tell
+and find nothing. The SQL joins on the spaced ``MASKS`` and wants an overlap of a whole window; it states a
+part of the result.
 
 Edge cases: null texts have no words; null ids stay null in the result; repeated rows of the same id and text
 give one result; repeated items of the same id and text too; empty tables give no rows. Only doc_id and text,
@@ -16,17 +18,19 @@ item_id and text are read, so extra columns cannot clash.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabloom.llm.common import written
 
-# The masks. A 1 takes part in the hash.
+# The masks of the SQL. A 1 takes part in the hash.
 MASKS = ("110110101", "1010011011")
 LEAST = 5
 WINDOW = 16
 SIMILAR = 0.8
-BROADCAST_SEEDS = 1_000_000  # 32 bytes each; a benchmark with more seeds is joined by a shuffle
+BROADCAST_SEEDS = 1_000_000  # 40 bytes each; a benchmark with more seeds is joined by a shuffle
 
 
 def word_hashes(text: Column) -> Column:
@@ -35,23 +39,25 @@ def word_hashes(text: Column) -> Column:
     return F.transform(F.filter(split, lambda w: w != ""), lambda w: F.xxhash64(w))
 
 
-def seeds(rows: DataFrame, masks: tuple[str, ...], only_length: bool = False) -> DataFrame:
-    """``rows`` (with an array ``words``) once for each place and mask: plus ``place`` and ``seed``.
+def row_length(words: int) -> int:
+    """Equal words in a row that every accepted window of an item of so many words has."""
+    window = min(WINDOW, words)
+    equal = math.ceil(window * SIMILAR)
+    return -(-equal // (window - equal + 1))
+
 
-    ``only_length`` keeps the seeds of a solid mask for rows of just that length.
-    """
-    shortest = min(len(m) for m in masks)
-    count = F.size("words")
+def seeds(rows: DataFrame, lengths: list[int]) -> DataFrame:
+    """``rows`` (with an array ``words``) once for each place and length: plus ``place``, ``seed`` and the word ``before`` it."""
+    count, shortest = F.size("words"), min(lengths)
     places = F.when(count >= shortest, F.sequence(F.lit(0), count - shortest))
     placed = rows.select("*", F.explode(places).alias("place"))
 
-    def seed(number: int, mask: str) -> Column:
-        picked = [F.get("words", F.col("place") + at) for at, c in enumerate(mask) if c == "1"]
-        fits = (F.col("place") + len(mask) == count) & (F.col("place") == 0) if only_length else F.col("place") + len(mask) <= count
-        return F.when(fits, F.xxhash64(F.lit(mask), *picked))
+    def seed(length: int) -> Column:
+        picked = [F.get("words", F.col("place") + at) for at in range(length)]
+        return F.when(F.col("place") + length <= count, F.xxhash64(F.lit(length), *picked))
 
-    made = F.explode(F.array(*[seed(n, m) for n, m in enumerate(masks)]))
-    return placed.select("*", made.alias("seed")).where("seed IS NOT NULL")
+    made = F.explode(F.array(*[seed(n) for n in lengths]))
+    return placed.select("*", F.get("words", F.col("place") - 1).alias("before"), made.alias("seed")).where("seed IS NOT NULL")
 
 
 def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -59,36 +65,42 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     items = written(
         benchmark.select("item_id", F.xxhash64("text").alias("item_hash"), word_hashes(F.col("text")).alias("words")).distinct(), "benchmark-items"
     )
-    shortest = min(len(m) for m in MASKS)
-    short = items.where(f"size(words) >= {LEAST} AND size(words) < {shortest}")
-    lengths = sorted(r[0] for r in short.select(F.size("words")).distinct().collect())  # a few lengths below the shortest mask
-    solid = tuple("1" * n for n in lengths)
-    of_items = seeds(items, MASKS)
-    if solid:
-        of_items = of_items.unionByName(seeds(short, solid, only_length=True))
-    of_items = written(of_items.select("seed", "item_id", "item_hash", F.col("place").alias("item_place"), F.size("words").alias("item_words")), "benchmark-seeds")
+    sizes = items.select(F.least(F.size("words"), F.lit(WINDOW)).alias("n")).where(F.col("n") >= LEAST).distinct().collect()  # at most WINDOW rows
+    by_length: dict[int, list[int]] = {}
+    for (n,) in sizes or [(WINDOW,)]:
+        by_length.setdefault(row_length(n), []).append(n)
+    of_items = None
+    for length, of in by_length.items():
+        part = seeds(items.where(F.least(F.size("words"), F.lit(WINDOW)).isin(of)), [length])
+        of_items = part if of_items is None else of_items.unionByName(part)
+    of_items = written(
+        of_items.select("seed", "item_id", "item_hash", F.col("place").alias("item_place"), F.size("words").alias("item_words"), F.col("before").alias("item_before")),
+        "benchmark-seeds",
+    )
 
     texts = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), word_hashes(F.col("text")).alias("words"))
-    side = F.broadcast(of_items) if of_items.count() <= BROADCAST_SEEDS else of_items
-    hits = seeds(texts, MASKS + solid).join(side, "seed")
+    small = of_items.count() <= BROADCAST_SEEDS
+    hits = seeds(texts, sorted(by_length)).join(F.broadcast(of_items) if small else of_items, "seed")
+    hits = hits.where(~F.coalesce(F.col("before") == F.col("item_before"), F.lit(False)))  # the first place of a row of equal words
     diagonal = F.col("place") - F.col("item_place")
     start = F.greatest(-diagonal, F.lit(0))
     length = F.least(F.col("item_words"), F.size("words") - diagonal) - start
     aligned = hits.select(
         "doc_id", "text_hash", "item_id", "item_hash", diagonal.alias("diagonal"), start.alias("item_start"), F.slice("words", diagonal + start + 1, length).alias("side")
     )
-    one = aligned.groupBy("doc_id", "text_hash", "item_id", "item_hash", "diagonal", "item_start").agg(F.first("side").alias("side"))
 
     item = items.select(F.col("item_id").alias("of_item"), F.col("item_hash").alias("of_hash"), F.col("words").alias("item_words"))
     same_item = F.col("item_id").eqNullSafe(F.col("of_item")) & F.col("item_hash").eqNullSafe(F.col("of_hash"))
     equal = F.zip_with("side", F.slice("item_words", F.col("item_start") + 1, F.size("side")), lambda a, b: (a == b).cast("int"))
     window = F.least(F.lit(WINDOW), F.size("item_words"))
     add = lambda values: F.aggregate(values, F.lit(0), lambda total, v: total + v)
-    best = F.array_max(F.transform(F.sequence(F.lit(1), F.size("equal") - window + 1), lambda s: add(F.slice(F.col("equal"), s, window))))
+    within = F.array_max(F.transform(F.sequence(F.lit(1), F.size("equal") - window + 1), lambda s: add(F.slice(F.col("equal"), s, window))))
+    best = F.when(F.size("equal") >= window, within)
     return (
-        one.join(item, same_item)
+        aligned.join(F.broadcast(item) if small else item, same_item)
         .withColumn("equal", equal)
-        .where(F.size("equal") >= window)
+        .withColumn("equal_words", add(F.col("equal")))
+        .where(F.col("equal_words") >= F.ceil(window * SIMILAR))
         .withColumn("best_window", best)
         .where(F.col("best_window") >= F.ceil(window * SIMILAR))
         .select(
@@ -97,10 +109,13 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
             (F.col("diagonal") + F.col("item_start")).alias("doc_start"),
             "item_start",
             F.size("equal").alias("overlap"),
-            add(F.col("equal")).alias("equal_words"),
+            "equal_words",
             "best_window",
             "text_hash",
+            "item_hash",
         )
+        .distinct()
+        .drop("item_hash")
     )
 
 

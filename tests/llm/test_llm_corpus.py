@@ -1,6 +1,7 @@
 """Sharding, search, language model, decontamination, near-duplicates, quality and mixing against plain versions."""
 
 import collections
+import itertools
 import math
 import random
 import re
@@ -237,6 +238,42 @@ def test_substituted_passages_are_found(spark):
     assert decontamination.contaminations(df, bench.limit(0)).collect() == []
 
 
+def plain_overlaps(docs, items):
+    """All diagonals of all pairs, without seeds; words that a document lacks are unequal."""
+    found = set()
+    for (d, text), (i, item) in itertools.product(docs, items):
+        a, b = text.split(), item.split()
+        width = min(16, len(b))
+        for g in range(1 - len(b), len(a)) if len(b) >= 5 else ():
+            equal = [0 <= g + j < len(a) and a[g + j] == b[j] for j in range(len(b))]
+            best = max(sum(equal[s : s + width]) for s in range(len(b) - width + 1))
+            if best >= math.ceil(width * 0.8):
+                found.add((d, i, max(g, 0), max(-g, 0), sum(equal), best))
+    return found
+
+
+def overlaps_of(spark, docs, items):
+    got = decontamination.contaminations(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    return collections.Counter((r.doc_id, r.item_id, r.doc_start, r.item_start, r.equal_words, r.best_window) for r in got.collect())
+
+
+def test_every_accepted_pattern_of_substitutions_is_found(spark):
+    items = [(n, " ".join(f"w{n}x{j}" for j in range(n))) for n in range(4, 18)]
+    docs = []
+    for n, text in items:
+        width = min(16, n)
+        for k in range(width - math.ceil(width * 0.8) + 2):  # one more than the rule accepts, too
+            for places in itertools.combinations(range(width), k):
+                words = text.split()
+                for at in places:
+                    words[at] = "other"
+                docs.append((len(docs), " ".join(["left"] * 3 + words[:width] + ["right"] * 3)))
+    wanted = set()
+    for n, text in items:
+        wanted |= plain_overlaps([d for d in docs if f"w{n}x" in d[1]], [(n, text)])
+    assert len({w[0] for w in wanted}) > 1000 and overlaps_of(spark, docs, items) == collections.Counter(wanted)
+
+
 # --- near-duplicates -------------------------------------------------------------------------
 
 
