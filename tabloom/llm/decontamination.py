@@ -1,9 +1,10 @@
 """Benchmark decontamination with seeds that lose nothing.
 
 An item counts as found on a diagonal (place in the document minus place in the item) if some window of
-``WINDOW`` of its words (all of them, if it is shorter) agrees in at least ``SIMILAR`` of its places. The
-unequal words of such a window leave equal words in a row, and by the pigeonhole principle some row has at
-least ``row_length`` of them. So the hashes of that many words in a row, at all places of all items, meet those of all documents in an
+``WINDOW`` of its words (all of them, if it is shorter) agrees in at least ``SIMILAR`` of its places; words
+that the document does not have, before its start or beyond its end, are unequal. The unequal words of such a
+window leave equal words in a row, and by the pigeonhole principle some row has at least ``row_length`` of
+them. So the hashes of that many words in a row, at all places of all items, meet those of all documents in an
 equality join; of the hits of one row only the first is kept, and around it the two word sequences are laid
 side by side.
 
@@ -95,7 +96,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     window = F.least(F.lit(WINDOW), F.size("item_words"))
     add = lambda values: F.aggregate(values, F.lit(0), lambda total, v: total + v)
     within = F.array_max(F.transform(F.sequence(F.lit(1), F.size("equal") - window + 1), lambda s: add(F.slice(F.col("equal"), s, window))))
-    best = F.when(F.size("equal") >= window, within)
+    best = F.when(F.size("equal") >= window, within).otherwise(add(F.col("equal")))  # a shorter overlap fits into one window
     return (
         aligned.join(F.broadcast(item) if small else item, same_item)
         .withColumn("equal", equal)

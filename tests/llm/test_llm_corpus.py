@@ -274,6 +274,15 @@ def test_every_accepted_pattern_of_substitutions_is_found(spark):
     assert len({w[0] for w in wanted}) > 1000 and overlaps_of(spark, docs, items) == collections.Counter(wanted)
 
 
+def test_passages_at_the_edges_of_documents_are_found(spark):
+    words = [f"w{j}" for j in range(40)]
+    items = [(0, " ".join(words)), (1, " ".join(f"v{j}" for j in range(9)))]
+    docs = [(0, " ".join(words[4:18])), (1, " ".join(["left"] * 9 + words[:13])), (2, " ".join(words[:6] + ["other"] + words[7:14] + ["right"]))]
+    docs += [(3, " ".join(words[27:] + ["right"] * 9)), (4, " ".join(words[:12])), (5, " ".join(f"v{j}" for j in range(1, 9))), (6, " ".join(f"v{j}" for j in range(7)))]
+    wanted = plain_overlaps(docs, items)
+    assert {w[0] for w in wanted} == {0, 1, 2, 3, 5} and overlaps_of(spark, docs, items) == collections.Counter(wanted)
+
+
 # --- near-duplicates -------------------------------------------------------------------------
 
 
