@@ -2,7 +2,8 @@
 
 By default the model keeps a training block of at most ``max_train_rows`` rows: all rows up to that
 number, beyond it the rows with the smallest hashes of each class, in proportion to the classes. The
-block goes to the workers, and queries are scanned once, where they are.
+block goes to the workers, and queries are scanned once, where they are. Only votes are taken from a
+sample: ``neighbours`` of a model whose block is one goes the exact way over all training rows.
 
 With ``exact`` every training row counts, whatever their number, in a distributed join of cells.
 Training rows are assigned to the nearest of a few pivots. From the distances of a query to
@@ -60,14 +61,14 @@ class NearestNeighbours(Estimator):
 
     def _fit_block(self, rows: DataFrame) -> BlockNeighboursModel:
         sizes = {r["_ty"]: r["n"] for r in rows.groupBy("_ty").agg(F.count("*").alias("n")).collect()}
-        total = sum(sizes.values())
+        total, everything = sum(sizes.values()), None
         if total > self.max_train_rows:
             mark = order_key(self.seed, F.col("_tid").cast("string"))
             share = {c: max(1, self.max_train_rows * n // total) for c, n in sizes.items()}
             parts = [rows.where(F.col("_ty").eqNullSafe(F.lit(c))).orderBy(mark, "_tid").limit(n) for c, n in share.items()]
-            rows = reduce(DataFrame.unionByName, parts)
+            everything, rows = rows, reduce(DataFrame.unionByName, parts)
         block = rows.orderBy("_tid").toArrow()  # at most max_train_rows rows
-        return BlockNeighboursModel(self, block)
+        return BlockNeighboursModel(self, block, everything)
 
     def _fit_cells(self, rows: DataFrame) -> NearestNeighboursModel:
         n = rows.count()
@@ -113,14 +114,17 @@ class NearestNeighbours(Estimator):
 class BlockNeighboursModel(Model):
     """Neighbours among a block of training rows that every worker holds."""
 
-    def __init__(self, settings: NearestNeighbours, block):
+    def __init__(self, settings: NearestNeighbours, block, everything: DataFrame | None = None):
+        """``everything``: all training rows, where the block is a sample of them."""
         super().__init__()
-        self.settings, self.block = settings, block
+        self.settings, self.block, self.everything, self.exact = settings, block, everything, None
         self.k = min(settings.n_neighbors, len(block))
         self.points = block["_tx"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(len(block), -1)
 
     def unpersist(self) -> None:
-        """Nothing is cached."""
+        """Only the exact way caches."""
+        if self.exact is not None:
+            self.exact.unpersist()
 
     def _found(self, df: DataFrame):
         """Positions and distances of the k nearest rows of every query, as one array."""
@@ -133,7 +137,10 @@ class BlockNeighboursModel(Model):
         return per_batch(search, vector_to_array(self.settings.features))
 
     def neighbours(self, df: DataFrame) -> DataFrame:
-        """``key, rank, distance, neighbour, neighbour_label`` of the k nearest training rows."""
+        """``key, rank, distance, neighbour, neighbour_label`` of the k nearest of all training rows."""
+        if self.everything is not None:
+            self.exact = self.exact or self.settings._fit_cells(keep(self.everything))
+            return self.exact.neighbours(df)
         s, k, spark = self.settings, self.k, df.sparkSession
         places = list(range(len(self.block)))
         names = spark.createDataFrame(self.block.select(["_tid", "_ty"]).append_column("_at", pa.array(places, pa.int32())))

@@ -73,7 +73,7 @@ rule_query("rule_adaboost", "AdaBoost", {"n_estimators": 12})
 rule_query("rule_gradient_boosting", "CatBoost", {"iterations": 5, "depth": 4}, TWO)
 rule_query("rule_gradient_boosting_multiclass", "CatBoost", {"iterations": 4, "depth": 4})
 rule_query("rule_logistic", "LogisticClassifier", {})
-rule_query("rule_knn", "KNN", {"n_neighbors": 5, "max_train_rows": 2000})
+rule_query("rule_knn", "KNN", {"n_neighbors": 5})
 rule_query("rule_network", "ANN", {"topology": [8], "max_epochs": 120})
 rule_query("rule_network_learning_rate", "ANN", {"topology": [8], "max_epochs": 400, "learning_rate": 1.0})
 rule_query("rule_network_early_stopping", "ANN", {"topology": [8], "max_epochs": 120, "validation_ratio": 0.2, "patience": 40})
@@ -118,7 +118,7 @@ def rule_fold_counts(spark, folder):
     """Confusion counts by config and fold: every true class is predicted as itself."""
     train, _ = ruled(spark, folder)
     df = X.stratified_kfold(train, "event_id", "label", 3, SEED)
-    configs = [("DT", {"max_depth": 5}), ("DT", {"max_depth": 8}), ("KNN", {"n_neighbors": 3, "max_train_rows": 1000})]
+    configs = [("DT", {"max_depth": 5}), ("DT", {"max_depth": 8}), ("KNN", {"n_neighbors": 3})]
     counts = V.fold_counts(df, configs, columns_for(), CLASSES, parallelism=4)
     return counts.select("family", "config_index", "fold", "label", "prediction", "n")
 
@@ -170,7 +170,7 @@ SMALL_GRIDS = {
     "ANN": ({"topology": [8], "max_epochs": 120, "executions": 1},),
     "SVM": ({"kernel": "linear", "cost": 10.0},),
     "DT": ({"max_depth": 5, "min_samples_leaf": 1},),
-    "KNN": ({"n_neighbors": 3, "max_train_rows": 1000},),
+    "KNN": ({"n_neighbors": 3},),
     "RF": ({"n_trees": 15, "max_depth": 6},),
     "AdaBoost": ({"n_estimators": 12, "learning_rate": 1.0},),
     "CatBoost": ({"iterations": 4, "learning_rate": 0.3, "depth": 4},),

@@ -329,6 +329,16 @@ def test_block_of_training_rows_is_bounded(spark):
     assert "CoGroup" not in model.transform(frame(spark, x, y))._jdf.queryExecution().executedPlan().toString()
 
 
+def test_neighbours_come_from_all_training_rows(spark):
+    rng = np.random.default_rng(4)
+    x, q = rng.normal(size=(300, 2)), rng.normal(size=(40, 2))
+    model = NearestNeighbours(3, 3, max_train_rows=100, pivots=6).fit(frame(spark, x, rng.integers(0, 3, 300)))
+    got = {(r["id"], r["rank"]): r["neighbour"] for r in model.neighbours(frame(spark, q, np.zeros(40), 1000)).collect()}
+    model.unpersist()
+    near = np.argsort(((q[:, None] - x) ** 2).sum(axis=2), axis=1)[:, :3]
+    assert got == {(1000 + i, j + 1): near[i, j] for i in range(40) for j in range(3)}
+
+
 def test_discriminant_leaves_unlabelled_rows_out(spark):
     rng = np.random.default_rng(3)
     x = np.vstack([rng.normal(0, 1, (50, 2)), rng.normal(4, 1, (50, 2))])
