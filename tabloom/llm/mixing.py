@@ -4,7 +4,8 @@ The words of a source, its records in a hashed order, form one stream that is cu
 source's quota is an exact number of words: whole passes over its stream, then a permuted sequence
 of its blocks, the last one in part. A binary tree over the output shards splits all sources' quotas
 at once: at each node one multivariate-hypergeometric draw decides what its left half gets. Every
-shard then owns disjoint ranges of each source's permuted sequence, and is shuffled on its own.
+shard then owns disjoint ranges of each source's permuted sequence, and is shuffled on its own. Beyond ``MAX_SOURCES`` sources the same quotas are made in a table of sources, and the
+draws for the shards are made in hashed groups of sources, each with even shares of its draws.
 
 Edge cases: a null source is a source of its own, ordered last; a null or empty text has no words and
 takes none; repeated rows are records of their own; no words at all gives targets of 0; an empty table
@@ -27,7 +28,7 @@ WEIGHTS = (1, 2, 3)
 MOST = 3  # a target stops at this many times its source
 BLOCKS = 512  # at most, for each source
 BUCKETS = 1024  # a source's stream is laid out in so many hashed pieces, each ordered by itself
-MAX_SOURCES = 10_000  # quotas of that many sources are made on the driver; more raise an error
+MAX_SOURCES = 10_000  # quotas of that many sources are made on the driver, those of more in a table
 PIECES = "array<struct<i: bigint, low: bigint, high: bigint, upto: bigint, place: int>>"
 SPACE = r"[\x20\x09-\x0D]+"
 SPACES = " \t\n\x0b\x0c\r"
@@ -129,14 +130,6 @@ def block_draws(spark, plan: dict[str, Plan], shards: int, seed: int) -> DataFra
     for k, p in plan.items():
         rows.append({"source_key": k, "words": p.words, "target": p.target, "block": p.block, "passes": p.quota // max(p.words, 1), "rest": p.quota % max(p.words, 1), "blocks": p.blocks})
     base = small_table(spark, rows, "source_key string, words bigint, target double, block bigint, passes int, rest bigint, blocks int")
-    each = base.withColumn("i", F.explode(F.sequence(F.lit(0), F.greatest(F.col("blocks") - 1, F.lit(0)))))
-    length = F.least(F.col("block"), F.greatest(F.col("words") - F.col("i") * F.col("block"), F.lit(0)))
-    permuted = Window.partitionBy("source_key").orderBy(F.xxhash64(F.lit(seed), "source_key", "i"), "i").rowsBetween(Window.unboundedPreceding, -1)
-    each = each.withColumn("length", length).withColumn("ahead", F.coalesce(F.sum("length").over(permuted), F.lit(0)))
-    taken = F.greatest(F.lit(0), F.least(F.col("rest") - F.col("ahead"), F.col("length"))).cast("bigint")
-    place = F.row_number().over(Window.partitionBy("source_key").orderBy(F.xxhash64(F.lit(seed), "source_key", "i"), "i")) - 1
-    each = each.withColumn("taken", taken).withColumn("place", place)
-
     # the splitting tree deals out whole draws: all passes over all blocks, then the blocks of the last pass
     keys = list(plan)
     draws = [plan[k].blocks * (plan[k].quota // max(plan[k].words, 1)) + -(-(plan[k].quota % max(plan[k].words, 1)) // plan[k].block) for k in keys]
@@ -144,10 +137,72 @@ def block_draws(spark, plan: dict[str, Plan], shards: int, seed: int) -> DataFra
     bounds = small_table(
         spark, [{"source_key": k, "cuts": [int(c) for c in row]} for k, row in zip(keys, cuts)], "source_key string, cuts array<bigint>"
     )
-    per_source = each.groupBy("source_key", "words", "target", "block", "passes", "blocks").agg(
+    return with_draws(base, seed).join(bounds, "source_key")
+
+
+def with_draws(base: DataFrame, seed: int) -> DataFrame:
+    """Adds ``draws`` to rows of sources: by block, what the last pass takes and its place in the permuted order."""
+    each = base.withColumn("i", F.explode(F.sequence(F.lit(0), F.greatest(F.col("blocks") - 1, F.lit(0)))))
+    length = F.least(F.col("block"), F.greatest(F.col("words") - F.col("i") * F.col("block"), F.lit(0)))
+    permuted = Window.partitionBy("source_key").orderBy(F.xxhash64(F.lit(seed), "source_key", "i"), "i").rowsBetween(Window.unboundedPreceding, -1)
+    each = each.withColumn("length", length).withColumn("ahead", F.coalesce(F.sum("length").over(permuted), F.lit(0)))
+    taken = F.greatest(F.lit(0), F.least(F.col("rest") - F.col("ahead"), F.col("length"))).cast("bigint")
+    place = F.row_number().over(Window.partitionBy("source_key").orderBy(F.xxhash64(F.lit(seed), "source_key", "i"), "i")) - 1
+    each = each.withColumn("taken", taken).withColumn("place", place)
+    return each.groupBy("source_key", "words", "target", "block", "passes", "blocks").agg(
         F.transform(F.array_sort(F.collect_list(F.struct("i", "taken", "place"))), lambda s: F.struct(s["taken"], s["place"])).alias("draws")
     )
-    return per_source.join(bounds, "source_key")
+
+
+def many_plans(sources: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST, blocks: int = BLOCKS) -> DataFrame:
+    """What ``plans`` gives, for any number of sources (source_key, words), as a written table."""
+    ordered = sources.select("source_key", "words").orderBy(F.col("source_key") == "n", "source_key")
+    numbered = ordered.rdd.zipWithIndex().map(lambda p: (p[0][0], p[0][1], weights[p[1] % len(weights)]))
+    table = written(sources.sparkSession.createDataFrame(numbered, "source_key string, words bigint, weight int"), "mix-weights")
+    limit = F.col("words") * most
+    total, fixed, known = table.agg(F.sum("words")).first()[0] or 0, F.lit(False), 0
+    while True:  # the rounds of targets(), one aggregation each
+        taken, weight = table.agg(F.sum(F.when(fixed, limit)), F.sum(F.when(~fixed, F.col("weight")))).first()
+        share = F.lit(float(total - (taken or 0))) * F.col("weight") / F.lit(float(weight))
+        above = fixed | (share > limit)
+        found = table.where(above).count()
+        if found == known:
+            break
+        fixed, known = above, found
+    goal = F.when(fixed, limit.cast("double")).otherwise(share)
+    quota = F.least(F.bround(goal).cast("bigint"), limit)
+    sized = table.select("source_key", "words", goal.alias("target"), F.greatest(F.lit(1), F.expr(f"(words + {blocks - 1}) div {blocks}")).cast("bigint").alias("block"), quota.alias("quota"))
+    return written(
+        sized.selectExpr(
+            "source_key", "words", "target", "block", "cast(quota div greatest(words, 1) as int) passes", "quota % greatest(words, 1) rest",
+            "cast((words + block - 1) div block as int) blocks",
+        ),
+        "mix-plans",
+    )
+
+
+def many_draws(sources: DataFrame, shards: int, seed: int) -> DataFrame:
+    """What ``block_draws`` gives, for any number of sources; a group's shares of the shards follow those of the group before."""
+    base = written(with_draws(many_plans(sources), seed), "mix-draws")
+    group = F.pmod(F.xxhash64(F.lit(seed), "source_key"), F.lit(MAX_SOURCES)).cast("int")
+    drawn = base.select("source_key", group.alias("group"), F.expr("blocks * cast(passes as bigint) + size(filter(draws, d -> d.taken > 0))").alias("draws"))
+    shares, at = [], 0
+    for g, n in sorted(tuple(x) for x in drawn.groupBy("group").agg(F.sum("draws")).collect()):  # MAX_SOURCES rows at most
+        shares.append({"group": g, "parts": [(at + n + shards - 1 - k) // shards - (at + shards - 1 - k) // shards for k in range(shards)]})
+        at += n
+    parts = small_table(sources.sparkSession, shares, "group int, parts array<bigint>")
+
+    def dealt(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("source_key")
+        colours, out = rows["draws"].to_numpy(np.int64).copy(), []
+        generator = np.random.default_rng([seed, int(rows["group"].iloc[0])])
+        for n in rows["parts"].iloc[0]:
+            out.append(generator.multivariate_hypergeometric(colours, n, method="marginals") if n else np.zeros_like(colours))
+            colours -= out[-1]
+        return pd.DataFrame({"source_key": rows["source_key"].to_numpy(), "cuts": list(np.cumsum(out, axis=0).T)})
+
+    bounds = drawn.join(F.broadcast(parts), "group").groupBy("group").applyInPandas(dealt, "source_key string, cuts array<bigint>")
+    return base.join(bounds, "source_key")
 
 
 def overlaps(draws: Column, block: Column, first: Column, size: Column) -> Column:
@@ -173,7 +228,11 @@ def drawn(docs: DataFrame, columns: list[str], shards: int, seed: int) -> DataFr
     """``row`` (the given columns, doc_id among them) of every record with its source's numbers and ``pieces``."""
     spark = docs.sparkSession
     narrow = written(sized(docs, ["doc_id"], seed), "mix-records")
-    per_source = F.broadcast(block_draws(spark, plans(narrow), shards, seed))  # MAX_SOURCES x BLOCKS draws at most
+    sources = written(narrow.groupBy("source_key").agg(F.sum("size").alias("words")), "mix-sources")
+    if sources.limit(MAX_SOURCES + 1).count() > MAX_SOURCES:
+        per_source = many_draws(sources, shards, seed)
+    else:
+        per_source = F.broadcast(block_draws(spark, plans(sources.withColumnRenamed("words", "size")), shards, seed))  # MAX_SOURCES x BLOCKS draws at most
     records = narrow if columns == ["doc_id"] else sized(docs, columns, seed)
     joined = laid_out(records, narrow).join(per_source, "source_key")
     pieces = overlaps(F.col("draws"), F.col("block").cast("bigint"), F.col("first"), F.col("size"))

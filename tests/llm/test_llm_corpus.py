@@ -497,3 +497,20 @@ def test_splitting_tree():
     tree = mixing.split_tree(quotas, 7, 1)
     assert tree.sum(axis=0).tolist() == quotas and np.ptp(tree.sum(axis=1)) <= 1 and (tree >= 0).all()
     assert np.array_equal(tree, mixing.split_tree(quotas, 7, 1)) and not np.array_equal(tree, mixing.split_tree(quotas, 7, 2))
+
+
+def test_more_sources_than_the_driver_holds(spark, monkeypatch):
+    rng = random.Random(8)
+    rows = [(i, " ".join(["w"] * rng.choice([0, 1, 5, 40, 900])), None if i % 41 == 0 else f"s{rng.randrange(30)}é") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    few = sorted(tuple(r) for r in mixing.mixed(docs).collect())
+    whole = collections.Counter((r.doc_id, r.text) for r in mixing.mix(docs).collect())
+    monkeypatch.setattr(mixing, "MAX_SOURCES", 4)
+    assert sorted(tuple(r) for r in mixing.mixed(docs).collect()) == few
+    many = mixing.mix(docs, shards=4).collect()
+    assert collections.Counter((r.doc_id, r.text) for r in many) == whole and {r.mix_shard for r in many} == {0, 1, 2, 3}
+    sources = mixing.sized(docs, ["doc_id"], 17).groupBy("source_key").agg(F.sum("size").alias("words"))
+    drawn = mixing.many_draws(sources, 4, 17).collect()
+    assert len(drawn) == 31
+    loads = np.diff(np.array([r.cuts for r in drawn]), axis=1, prepend=0).sum(axis=0)
+    assert loads.max() - loads.min() <= 1
