@@ -6,7 +6,8 @@ smallest chunk maximum of every filter enter one logistic output. Training runs
 sample of labelled rows; scoring reads every byte of every text, in slabs of bounded size.
 
 Edge cases: a null text is an empty one and gets the score of a text of padding; rows without a label are
-scored like all others; conflicting labels of one id count as the rounded mean; without both classes in the
+scored like all others; conflicting labels of one id count as the rounded mean; training takes one
+row of an id, the text with the smallest hash; without both classes in the
 sample every score is the share of label 1 (0.5 without labels); an empty table gives no rows. Only doc_id,
 text and the labels are read, so extra columns cannot clash.
 """
@@ -160,9 +161,11 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> N
     chosen = [known.where(F.col("quality") == q).orderBy(mark, "doc_id").limit(sample_rows) for q in (0, 1)]
     scale = F.when(F.col("quality") == 0, max(1.0, counts[0] / sample_rows)).otherwise(max(1.0, counts[1] / sample_rows))
     chosen = F.broadcast(chosen[0].unionByName(chosen[1]).withColumn("weight", scale))  # 2 x sample_rows ids
-    rows = docs.select("doc_id", F.col("text").cast("binary").alias("text")).join(chosen, "doc_id").select("text", "quality", "weight", "doc_id")
+    rows = docs.select("doc_id", F.col("text").cast("binary").alias("text")).join(chosen, "doc_id")
+    # one row of each id, however often it is repeated
+    rows = rows.groupBy("doc_id", "quality", "weight").agg(F.min_by("text", F.xxhash64("text")).alias("text")).select("text", "quality", "weight")
     with batches_of(docs.sparkSession, 200):
-        found = rows.drop("doc_id").mapInArrow(_sample, "quality int, weight double, chunks array<binary>").collect()
+        found = rows.mapInArrow(_sample, "quality int, weight double, chunks array<binary>").collect()
     found.sort(key=lambda r: (r["quality"], r["chunks"]))
     if len({r["quality"] for r in found}) < 2:
         return float(found[0]["quality"]) if found else 0.5

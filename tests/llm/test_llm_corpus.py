@@ -514,3 +514,14 @@ def test_more_sources_than_the_driver_holds(spark, monkeypatch):
     assert len(drawn) == 31
     loads = np.diff(np.array([r.cuts for r in drawn]), axis=1, prepend=0).sum(axis=0)
     assert loads.max() - loads.min() <= 1
+
+
+def test_training_takes_one_row_of_an_id(spark, monkeypatch):
+    ids = [i for i in range(60) if not held(i, 5)]
+    docs = spark.createDataFrame([(i, f"text {i} " * 9) for i in ids] + [(ids[0], f"other {n}") for n in range(500)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, k % 2) for k, i in enumerate(ids)], "doc_id long, quality int")
+    taken = []
+    monkeypatch.setattr(quality, "train", lambda samples, *a: taken.append(len(samples)))
+    quality.fit(docs, labels)
+    quality.fit(docs, labels, sample_rows=5)
+    assert taken == [len(ids), 10]
