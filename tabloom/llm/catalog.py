@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tabloom.llm import decontamination, licenses, mixing, pii, ppm, quality, secrets, sharding, simhash, topk
+from tabloom.llm import bpe, decontamination, hard_negatives, licenses, mixing, pii, ppm, quality, secrets, sharding, simhash, topk, whitening
 from tabloom.llm.common import table
 
 
@@ -50,6 +51,18 @@ def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mixed(table(spark, folder, "documents"))
 
 
+def op11_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whiten(table(spark, folder, "embeddings"))
+
+
+def op12_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    return bpe.round_trip(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    return hard_negatives.mined(table(spark, folder, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -63,6 +76,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_secrets,
         op9_quality,
         op10_mixing,
+        op11_whitening,
+        op12_bpe,
+        op13_hard_negatives,
     )
 }
-ORACLES: dict[str, str] = {"op2_licenses": licenses.ORACLE, "op6_decontamination": decontamination.ORACLE}
+ORACLES: dict[str, str] = {
+    "op2_licenses": licenses.ORACLE,
+    "op6_decontamination": decontamination.ORACLE,
+    "op13_hard_negatives": hard_negatives.ORACLE,
+}
