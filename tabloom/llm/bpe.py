@@ -19,12 +19,11 @@ from __future__ import annotations
 
 import heapq
 import json
+import re
 import sys
 import unicodedata
-from array import array
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -34,9 +33,11 @@ from pyspark.sql import functions as F
 
 # Fixed value: how a byte-level vocabulary of this kind splits text.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+# The same for ASCII texts, whose classes can be listed.
+ASCII_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\t-\r A-Za-z0-9]+|[\t-\r ]+(?![^\t-\r ])|[\t-\r ]+"
 WINDOW = 1 << 20  # characters of a text that are split at once
 GROUP = 1 << 18  # pieces whose new ones share an index
-KNOWN = 200_000  # pieces whose tokens a task remembers
+KNOWN = 300_000  # pieces whose tokens a task remembers
 
 
 def byte_alphabet() -> list[str]:
@@ -76,8 +77,8 @@ class Vocabulary:
             self.tokens[t["id"]] = t["content"].encode()
 
 
-def merged(pieces: Sequence[bytes], vocabulary: Vocabulary) -> list[list[int]]:
-    """The tokens of every piece, found for all pieces together.
+def merged(pieces: Sequence[bytes], vocabulary: Vocabulary) -> list[bytes]:
+    """The tokens of every piece as packed 32-bit numbers, found for all pieces together.
 
     Lists of positions only grow; a position whose pair has gone since is passed over when its list is taken.
     """
@@ -110,15 +111,25 @@ def merged(pieces: Sequence[bytes], vocabulary: Vocabulary) -> list[list[int]]:
             before, after = left[at], right[second]
             symbols[at], symbols[second] = token, -2
             right[at], left[after] = after, at
-            for place, new in ((before, (symbols[before], token)), (at, (token, symbols[after]))):
-                held = places.get(new)
-                if held is not None:
-                    held.append(place)
+            if (other := symbols[before]) >= 0:
+                new = other, token
+                if (held := places.get(new)) is not None:
+                    held.append(before)
                 elif new in merges:
-                    places[new] = [place]
+                    places[new] = [before]
                     heapq.heappush(active, (merges[new][0], new))
-    starts = np.cumsum(sizes + 1) - sizes
-    return [[s for s in symbols[i : i + n] if s >= 0] for i, n in zip(starts.tolist(), sizes.tolist())]
+            if (other := symbols[after]) >= 0:
+                new = token, other
+                if (held := places.get(new)) is not None:
+                    held.append(at)
+                elif new in merges:
+                    places[new] = [at]
+                    heapq.heappush(active, (merges[new][0], new))
+    left_over = np.array(symbols, np.int32)
+    alive = left_over >= 0
+    packed = left_over[alive].tobytes()
+    ends = 4 * np.cumsum(alive)[np.cumsum(sizes + 1) - 1]
+    return [packed[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist())]
 
 
 class Encoder:
@@ -126,7 +137,7 @@ class Encoder:
 
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary, self.known = vocabulary, {}
-        self.pattern = regex.compile(SPLIT)
+        self.pattern, self.ascii_pattern = regex.compile(SPLIT), re.compile(ASCII_SPLIT)
         listed = sorted(vocabulary.special, key=len, reverse=True)
         self.special = regex.compile("(" + "|".join(map(regex.escape, listed)) + ")") if listed else None
         self.settled = settled_characters()
@@ -148,7 +159,9 @@ class Encoder:
         while start < len(text):
             part = text[start : start + width]
             last = start + width >= len(text)
-            if part.isascii() or self.settled.issuperset(set(part)):
+            if part.isascii():
+                pieces = self.ascii_pattern.findall(part)
+            elif self.settled.issuperset(set(part)):
                 pieces = self.pattern.findall(part)
             else:
                 pieces = [part[a:b] for _, (a, b) in self.library().pre_tokenize_str(part)]
@@ -168,23 +181,23 @@ class Encoder:
             elif part:
                 yield from self.split(part)
 
-    def encode(self, texts: Sequence[str]) -> list[array]:
-        out = [array("i") for _ in texts]
-        waiting: list[tuple[array, list[str] | int]] = []
+    def encode(self, texts: Sequence[str]) -> list[bytes]:
+        """The tokens of each text as packed 32-bit numbers."""
+        out: list[list[bytes]] = [[] for _ in texts]
+        waiting: list[tuple[list[bytes], list[str] | int]] = []
         count = 0
 
         def flush() -> None:
-            new = {p for _, unit in waiting if not isinstance(unit, int) for p in unit} - self.known.keys()
-            if len(self.known) + len(new) > KNOWN:
+            met = set().union(*(unit for _, unit in waiting if not isinstance(unit, int)))
+            if len(self.known) + len(met) > KNOWN:
                 self.known = {}
-                new = {p for _, unit in waiting if not isinstance(unit, int) for p in unit}
-            listed = sorted(new)
-            self.known.update(zip(listed, merged([p.encode() for p in listed], self.vocabulary)))
+            new = sorted(met - self.known.keys())
+            self.known.update(zip(new, merged([p.encode() for p in new], self.vocabulary)))
             for ids, unit in waiting:
                 if isinstance(unit, int):
-                    ids.append(unit)
+                    ids.append(np.int32(unit).tobytes())
                 else:
-                    ids.extend(chain.from_iterable(map(self.known.__getitem__, unit)))
+                    ids.append(b"".join(map(self.known.__getitem__, unit)))
             waiting.clear()
 
         for ids, text in zip(out, texts):
@@ -195,7 +208,7 @@ class Encoder:
                     flush()
                     count = 0
         flush()
-        return out
+        return [b"".join(ids) for ids in out]
 
 
 @lru_cache(maxsize=1)
@@ -210,10 +223,9 @@ def settled_characters() -> frozenset[str]:
     return frozenset(c for c in map(chr, range(sys.maxunicode + 1)) if old.category(c) not in ("Cn", "Cs"))
 
 
-def _lists(values: Sequence[array]) -> pa.Array:
-    offsets = np.cumsum([0, *map(len, values)], dtype=np.int32)
-    flat = np.concatenate([np.frombuffer(v, np.int32) for v in values]) if len(values) else np.empty(0, np.int32)
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, pa.int32()))
+def _lists(values: Sequence[bytes]) -> pa.Array:
+    offsets = np.cumsum([0, *map(len, values)]) // 4
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.frombuffer(b"".join(values), np.int32)))
 
 
 def _parts(batch: pa.RecordBatch, limit: int) -> Iterator[pa.RecordBatch]:
