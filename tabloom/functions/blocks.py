@@ -57,3 +57,40 @@ def per_batch(function: Callable[[np.ndarray], np.ndarray], values: Column) -> C
 def vector_map(function: Callable[[np.ndarray], np.ndarray], features: str) -> Column:
     """The same for a vector column, giving a vector column."""
     return array_to_vector(per_batch(function, vector_to_array(features)))
+
+
+def packed(df: DataFrame, features: str, label: str, roles: Column, rows: int = 4096) -> DataFrame:
+    """Rows as blocks of matrices for fits that scan them many times: ``n, x, y, r`` (packed doubles; bytes for roles).
+
+    ``roles`` is an array of small whole numbers, as long for every row: what a row is to each of several fits. Rows
+    without a label have a label of NaN.
+    """
+
+    def pack(batches):
+        import numpy
+        import pyarrow
+
+        for batch in batches:
+            for start in range(0, batch.num_rows, rows):
+                part = batch.slice(start, rows)
+                x = part.column(0).flatten().to_numpy(zero_copy_only=False).astype("float64")
+                y = part.column(1).to_numpy(zero_copy_only=False).astype("float64")
+                r = part.column(2).flatten().to_numpy(zero_copy_only=False).astype("int8")
+                columns = [pyarrow.array([part.num_rows], "int32"), *(pyarrow.array([numpy.ascontiguousarray(v).tobytes()], "binary") for v in (x, y, r))]
+                yield pyarrow.RecordBatch.from_arrays(columns, ["n", "x", "y", "r"])
+
+    chosen = df.select(vector_to_array(features).alias("x"), F.col(label).cast("double").alias("y"), roles.cast("array<tinyint>").alias("r"))
+    return chosen.mapInArrow(pack, "n int, x binary, y binary, r binary")
+
+
+def over_blocks(add: Callable) -> Callable:
+    """``add(total, x, y, r)`` on the matrices of packed blocks, for ``summed``."""
+
+    def run(total, batch):
+        import numpy
+
+        for n, *values in zip(*(column.to_pylist() for column in batch.columns)):
+            x, y, r = (numpy.frombuffer(v, t) for v, t in zip(values, ("float64", "float64", "int8")))
+            add(total, x.reshape(n, -1), y, r.reshape(n, -1))
+
+    return run

@@ -8,8 +8,11 @@ from pyspark.ml import Estimator, Model
 from pyspark.ml.classification import MultilayerPerceptronClassifier
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from tabloom.functions.blocks import packed
 from tabloom.functions.expressions import derived_seed
+from tabloom.models.adam import TEST, TRAIN, VALIDATION, AdamModel, Network, train_together
 from tabloom.operators.metrics import log_loss
 from tabloom.operators.splits import holdout
 from tabloom.session import dealt, keep
@@ -23,9 +26,10 @@ class NeuralNetwork(Estimator):
     validation loss and stops after ``patience`` epochs without improvement, or once the
     training loss reaches ``min_loss``. Losses per round stay in ``history``.
 
-    A learning rate means gradient descent (``gd``) with steps of that size; without one the
-    network trains by l-bfgs, which finds its own steps. Patience is counted in whole rounds, and
-    a round starts from the weights of the one before but not from the solver's memory.
+    A learning rate means full-batch Adam with steps of that size, an epoch a step: losses, patience and the
+    smallest loss are looked at after every epoch. Without one the network trains by l-bfgs, which finds its own
+    steps; there patience is counted in whole rounds, and a round starts from the weights of the one before but not
+    from the solver's memory.
     """
 
     def __init__(
@@ -37,13 +41,15 @@ class NeuralNetwork(Estimator):
         self.classes, self.topology, self.max_epochs, self.min_loss = classes, list(topology), max_epochs, min_loss
         self.learning_rate, self.validation_ratio, self.patience = learning_rate, validation_ratio, patience
         self.round_epochs, self.key = round_epochs, key
-        self.solver = solver or ("l-bfgs" if learning_rate is None else "gd")
-        if learning_rate is not None and self.solver != "gd":
+        self.solver = solver or ("l-bfgs" if learning_rate is None else "adam")
+        if self.solver not in ("l-bfgs", "adam"):
+            raise ValueError(f"unknown solver {self.solver}")
+        if learning_rate is not None and self.solver != "adam":
             raise ValueError("a learning rate has no effect on l-bfgs")
         self.features, self.label, self.seed = features, label, seed
 
     def _trainer(self, width: int, epochs: int) -> MultilayerPerceptronClassifier:
-        trainer = MultilayerPerceptronClassifier(
+        return MultilayerPerceptronClassifier(
             featuresCol=self.features,
             labelCol=self.label,
             layers=[width, *self.topology, max(self.classes, 2)],
@@ -52,9 +58,24 @@ class NeuralNetwork(Estimator):
             seed=self.seed,
             solver=self.solver,
         )
-        return trainer if self.learning_rate is None else trainer.setStepSize(self.learning_rate)
 
-    def _fit(self, df: DataFrame) -> NetworkModel:
+    def _adam(self, parts: dict[int, DataFrame]) -> AdamModel:
+        """Train on the rows of each role."""
+        rows = None
+        for role, part in parts.items():
+            part = part.select(self.features, self.label, F.lit(role).alias("_role"))
+            rows = part if rows is None else rows.unionByName(part)
+        width = rows.select(self.features).first()[0].size
+        blocks = keep(packed(dealt(rows, rows.count(), width), self.features, self.label, F.array("_role")))
+        network = Network(
+            width, self.topology, max(self.classes, 2), 0.01 if self.learning_rate is None else self.learning_rate,
+            self.max_epochs, self.min_loss, self.patience, self.seed,
+        )
+        train_together(blocks, [network])
+        blocks.unpersist()
+        return AdamModel(network, self.features)
+
+    def _fit(self, df: DataFrame) -> Model:
         if self.validation_ratio > 0:
             if self.key is None:
                 raise ValueError("a validation part needs a key column to split on")
@@ -62,13 +83,17 @@ class NeuralNetwork(Estimator):
             return self.fit_with_validation(
                 marked.where("_side = 'train'").drop("_side"), marked.where("_side = 'test'").drop("_side")
             )
+        if self.solver == "adam":
+            return self._adam({TRAIN: df})
         width = df.select(self.features).first()[0].size
         df = dealt(df.select(self.features, self.label), df.count(), width)
         fitted = self._trainer(width, self.max_epochs).fit(df)
         losses = [float(v) for v in fitted.summary().objectiveHistory]
         return NetworkModel(fitted, [(i, v, None, None) for i, v in enumerate(losses)])
 
-    def fit_with_validation(self, train: DataFrame, validation: DataFrame, test: DataFrame | None = None) -> NetworkModel:
+    def fit_with_validation(self, train: DataFrame, validation: DataFrame, test: DataFrame | None = None) -> Model:
+        if self.solver == "adam":
+            return self._adam({TRAIN: train, VALIDATION: validation} | ({} if test is None else {TEST: test}))
         width = train.select(self.features).first()[0].size
         train, validation = (
             keep(dealt(part.select(self.features, self.label), part.count(), width)) for part in (train, validation)

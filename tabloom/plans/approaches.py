@@ -30,37 +30,58 @@ from tabloom.plans.evaluation import (
 from tabloom.session import dealt, keep
 
 # The searched settings per model family.
-ANN_CONFIGS = tuple(
-    {"topology": t, "learning_rate": 0.001, "max_epochs": e, "validation_ratio": 0.2, "patience": 20, "executions": 1}
-    for t, e in (
-        ([128], 300),
-        ([64], 300),
-        ([128, 64], 200),
-        ([64, 32], 200),
-        ([10, 5], 300),
-        ([32, 16], 300),
-        ([32], 300),
-        ([16], 300),
-    )
+ANN_CONFIGS = (
+    {"topology": [128], "learning_rate": 0.001, "max_epochs": 300, "validation_ratio": 0.2, "patience": 20, "executions": 1},
+    {"topology": [64], "learning_rate": 0.001, "max_epochs": 300, "validation_ratio": 0.2, "patience": 20, "executions": 1},
+    {"topology": [128, 64], "learning_rate": 0.001, "max_epochs": 200, "validation_ratio": 0.2, "patience": 20, "executions": 1},
+    {"topology": [64, 32], "learning_rate": 0.001, "max_epochs": 200, "validation_ratio": 0.2, "patience": 20, "executions": 1},
+    {"topology": [10, 5], "learning_rate": 0.001, "max_epochs": 300, "validation_ratio": 0.2, "patience": 20, "executions": 1},
+    {"topology": [32, 16], "learning_rate": 0.001, "max_epochs": 300, "validation_ratio": 0.2, "patience": 20, "executions": 1},
+    {"topology": [32], "learning_rate": 0.001, "max_epochs": 300, "validation_ratio": 0.2, "patience": 20, "executions": 1},
+    {"topology": [16], "learning_rate": 0.001, "max_epochs": 300, "validation_ratio": 0.2, "patience": 20, "executions": 1},
 )
 SVM_CONFIGS = (
-    {"kernel": "linear", "cost": 0.1},
-    {"kernel": "linear", "cost": 1.0},
-    {"kernel": "linear", "cost": 10.0},
-    {"kernel": "linear", "cost": 20.0},
-    {"kernel": "linear", "cost": 50.0},
-    {"kernel": "linear", "cost": 100.0},
-    {"kernel": "sigmoid", "cost": 1.0, "gamma": 0.01, "coef0": 0.0},
-    {"kernel": "sigmoid", "cost": 3.0, "gamma": 0.02, "coef0": 0.1},
+    {"kernel": 'linear', "cost": 0.1},
+    {"kernel": 'linear', "cost": 1.0},
+    {"kernel": 'linear', "cost": 10.0},
+    {"kernel": 'linear', "cost": 20.0},
+    {"kernel": 'linear', "cost": 50.0},
+    {"kernel": 'linear', "cost": 100.0},
+    {"kernel": 'sigmoid', "cost": 1.0, "gamma": 0.01, "coef0": 0.0},
+    {"kernel": 'sigmoid', "cost": 3.0, "gamma": 0.02, "coef0": 0.1},
 )
-TREE_CONFIGS = tuple({"max_depth": d, "min_samples_leaf": 20} for d in (25, 30, 7, 10, 15, 20))
-NEIGHBOUR_CONFIGS = tuple({"n_neighbors": k} for k in (50, 25, 5, 7, 10, 15))
-FOREST_CONFIGS = tuple({"n_trees": n, "max_depth": d} for n, d in ((50, 5), (100, 10), (150, 15), (100, -1)))
-ADABOOST_CONFIGS = tuple(
-    {"n_estimators": n, "learning_rate": r} for n, r in ((25, 0.5), (50, 1.0), (100, 1.0), (50, 0.5))
+TREE_CONFIGS = (
+    {"max_depth": 25, "min_samples_leaf": 20},
+    {"max_depth": 30, "min_samples_leaf": 20},
+    {"max_depth": 7, "min_samples_leaf": 20},
+    {"max_depth": 10, "min_samples_leaf": 20},
+    {"max_depth": 15, "min_samples_leaf": 20},
+    {"max_depth": 20, "min_samples_leaf": 20},
 )
-BOOSTING_CONFIGS = tuple(
-    {"iterations": n, "learning_rate": r, "depth": d} for n, r, d in ((20, 0.1, 4), (40, 0.1, 6), (60, 0.05, 8))
+NEIGHBOUR_CONFIGS = (
+    {"n_neighbors": 50},
+    {"n_neighbors": 25},
+    {"n_neighbors": 5},
+    {"n_neighbors": 7},
+    {"n_neighbors": 10},
+    {"n_neighbors": 15},
+)
+FOREST_CONFIGS = (
+    {"n_trees": 50, "max_depth": 5},
+    {"n_trees": 100, "max_depth": 10},
+    {"n_trees": 150, "max_depth": 15},
+    {"n_trees": 100, "max_depth": -1},
+)
+ADABOOST_CONFIGS = (
+    {"n_estimators": 25, "learning_rate": 0.5},
+    {"n_estimators": 50, "learning_rate": 1.0},
+    {"n_estimators": 100, "learning_rate": 1.0},
+    {"n_estimators": 50, "learning_rate": 0.5},
+)
+BOOSTING_CONFIGS = (
+    {"iterations": 20, "learning_rate": 0.1, "depth": 4},
+    {"iterations": 40, "learning_rate": 0.1, "depth": 6},
+    {"iterations": 60, "learning_rate": 0.05, "depth": 8},
 )
 GRIDS: dict[str, tuple[dict, ...]] = {
     "ANN": ANN_CONFIGS,

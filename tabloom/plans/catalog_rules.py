@@ -75,7 +75,11 @@ rule_query("rule_gradient_boosting_multiclass", "CatBoost", {"iterations": 4, "d
 rule_query("rule_logistic", "LogisticClassifier", {})
 rule_query("rule_knn", "KNN", {"n_neighbors": 5})
 rule_query("rule_network", "ANN", {"topology": [8], "max_epochs": 120})
-rule_query("rule_network_learning_rate", "ANN", {"topology": [8], "max_epochs": 400, "learning_rate": 1.0})
+# a published setting, all of it
+rule_query(
+    "rule_network_learning_rate", "ANN",
+    {"topology": [128, 64], "max_epochs": 200, "learning_rate": 0.001, "validation_ratio": 0.2, "patience": 20},
+)
 rule_query("rule_network_early_stopping", "ANN", {"topology": [8], "max_epochs": 120, "validation_ratio": 0.2, "patience": 40})
 
 
@@ -151,6 +155,14 @@ def rule_cv(spark, folder):
     return report_rows(V.cross_validate(df, configs, columns_for(), CLASSES, parallelism=4))
 
 
+@query(report_sql(*["ANN"] * 8))
+def rule_network_grid(spark, folder):
+    """The eight published network settings over two folds, trained in the same scans."""
+    train, _ = ruled(spark, folder)
+    df = X.stratified_kfold(train, "event_id", "label", 2, SEED)
+    return report_rows(V.cross_validate(df, [("ANN", c) for c in A.ANN_CONFIGS], columns_for(), CLASSES))
+
+
 @query(report_sql("Bagging"))
 def rule_bagging_cv(spark, folder):
     train, _ = ruled(spark, folder)

@@ -12,6 +12,7 @@ from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import replace
 from multiprocessing.pool import ThreadPool
 
+import numpy as np
 from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Model
 from pyspark.ml.classification import LogisticRegression
@@ -20,7 +21,9 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tabloom.functions.blocks import packed
 from tabloom.functions.expressions import argmax_index, derived_seed, uniform_hash
+from tabloom.models.adam import TEST, TRAIN, VALIDATION, Network, confusion_together, train_together
 from tabloom.models.registry import MODEL_NAMES, Columns, get_model
 from tabloom.operators.metrics import METRICS, averaged_metrics, confusion_matrix, fold_summary, log_loss
 from tabloom.operators.splits import holdout
@@ -88,7 +91,8 @@ def fold_counts(
     """Confusion counts per config, fold and execution.
 
     ``configs`` are (family, settings). A network runs ``executions`` times per fold with its
-    own seeds, and its validation share is rescaled from the table to the training part.
+    own seeds, and its validation share is rescaled from the table to the training part. Networks with a
+    learning rate are trained together, in the same scans, however many settings, folds and executions there are.
     """
     needed = [columns.key, columns.features, columns.label, fold]
     data = df if df.is_cached else df.select(*dict.fromkeys(needed))
@@ -112,18 +116,54 @@ def fold_counts(
 
         return task
 
-    tasks = [
-        one(index, family, settings, k, execution)
+    runs = [
+        (index, family, settings, k, execution)
         for index, (family, settings) in enumerate(configs)
         for k in sorted(sizes)
         for execution in range(settings.get("executions", 1) if MODEL_NAMES.get(family) == "ANN" else 1)
     ]
+    together = [r for r in runs if make is get_model and MODEL_NAMES.get(r[1]) == "ANN" and r[2].get("learning_rate") is not None]
+    tasks = [one(*r) for r in runs if r not in together]
     rows = [r for part in run_parallel(tasks, parallelism, df.sparkSession) for r in part]
+    if together:
+        rows += network_counts(data, together, columns, classes, fold, sizes)
     if not df.is_cached:
         data.unpersist()
     return df.sparkSession.createDataFrame(rows, COUNTS)
 
 
+def network_counts(
+    data: DataFrame, runs: Sequence[tuple], columns: Columns, classes: Sequence[str], fold: str, sizes: Mapping[int, int]
+) -> list[tuple]:
+    """Confusion counts of Adam networks, all trained in the same scans; ``runs`` are (index, family, settings, fold, execution).
+
+    Validation rows are drawn by a hash of the key, so their share is met up to chance.
+    """
+    total, width = sum(sizes.values()), data.select(columns.features).first()[0].size
+    roles, networks = [], []
+    for place, (_, _, settings, k, execution) in enumerate(runs):
+        seed = columns.seed + execution
+        share = total * settings.get("validation_ratio", 0.0) / max(total - sizes[k], 1)
+        drawn = uniform_hash(derived_seed(seed, "validation"), columns.key) < F.lit(share)
+        roles.append(F.when(F.col(fold) == k, F.lit(TEST)).when(drawn, F.lit(VALIDATION)).otherwise(F.lit(TRAIN)))
+        networks.append(
+            Network(
+                width, settings.get("topology", (4, 3)), max(columns.classes, 2), settings["learning_rate"], settings.get("max_epochs", 1000),
+                settings.get("min_loss", 0.0), settings.get("patience", 20), seed, place,
+            )
+        )
+    blocks = keep(packed(dealt(data, total, width), columns.features, columns.label, F.array(*roles)))
+    train_together(blocks, networks)
+    counts = confusion_together(blocks, networks)
+    blocks.unpersist()
+    names = [*classes, UNSEEN]
+    return [
+        (family, index, config_text(settings), k, execution, names[int(true)], classes[int(found)], int(counts[place, true, found]))
+        for place, (index, family, settings, k, execution) in enumerate(runs)
+        for true, found in np.argwhere(counts[place] > 0)
+    ]
+
+
 CONFIG = ["family", "config_index", "config"]
 
 

@@ -71,12 +71,11 @@ VALUES_PER_PARTITION = 500_000
 
 
 def dealt(df: DataFrame, rows: int, width: int, partitions: int | None = None) -> DataFrame:
-    """Deal the input of an iterative fit out evenly, by a hash of its rows.
+    """Deal the input of an iterative fit out evenly.
 
     Every step of such a fit is a job over all rows, so they should sit neither in hundreds of tiny
     partitions nor in the one that a single-file scan gave. The partitions hold about
-    ``VALUES_PER_PARTITION`` numbers each unless their number is given; which rows share a
-    partition depends on the rows alone, whatever the size.
+    ``VALUES_PER_PARTITION`` numbers each unless their number is given. Rows are dealt in turn, so equal
+    rows spread; Spark sorts a partition before dealing it, so a repeated task deals alike.
     """
-    parts = partitions or max(1, -(-rows * max(width, 1) // VALUES_PER_PARTITION))
-    return df.repartition(parts, *df.columns)
+    return df.repartition(partitions or max(1, -(-rows * max(width, 1) // VALUES_PER_PARTITION)))

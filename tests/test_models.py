@@ -313,7 +313,7 @@ def test_a_thousand_stumps_score(spark):
 
 def test_network_learning_rate_counts(three):
     train, _ = parts(three)
-    weights = [NeuralNetwork(3, [4], max_epochs=5, learning_rate=r, seed=1).fit(train).fitted.weights.toArray() for r in (1e-6, 0.5)]
+    weights = [NeuralNetwork(3, [4], max_epochs=5, learning_rate=r, seed=1).fit(train).weights for r in (1e-6, 0.5)]
     assert not np.allclose(*weights)
     with pytest.raises(ValueError, match="l-bfgs"):
         NeuralNetwork(3, learning_rate=0.1, solver="l-bfgs")
