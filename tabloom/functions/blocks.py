@@ -10,31 +10,38 @@ from collections.abc import Callable
 
 import numpy as np
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+MERGERS = 8  # tasks that add up the partial sums of all others
+
+
 def summed(data: DataFrame, add: Callable, length: int) -> np.ndarray:
     """Sum of an array of ``length`` numbers that ``add(total, batch)`` fills per partition.
 
-    Executors add the partial sums up as they arrive; one array reaches the driver.
+    The partial sums go to ``MERGERS`` tasks, which add them up as they arrive; as many arrays reach the driver.
     """
 
-    def partial(batches):
+    def total_of(batches, take):
         import numpy
         import pyarrow
 
         total = numpy.zeros(length)
         for batch in batches:
             if batch.num_rows:
-                add(total, batch)
-        flat = pyarrow.array([total], pyarrow.list_(pyarrow.float64()))
-        yield pyarrow.RecordBatch.from_arrays([flat], ["v"])
+                take(total, batch)
+        yield pyarrow.RecordBatch.from_arrays([pyarrow.array([total.tobytes()], "binary")], ["v"])
+
+    def merge(total, batch):
+        import numpy
+
+        for v in batch.column(0).to_pylist():
+            total += numpy.frombuffer(v)
 
-    found = data.mapInArrow(partial, "v array<double>")
-    sums = found.select(array_to_vector("v").alias("v"))
-    return sums.agg(Summarizer.sum(F.col("v")).alias("v")).first()["v"].toArray()
+    partial = data.mapInArrow(lambda batches: total_of(batches, add), "v binary")
+    merged = partial.repartition(MERGERS).mapInArrow(lambda batches: total_of(batches, merge), "v binary")
+    return np.sum([np.frombuffer(r["v"]) for r in merged.collect()], axis=0) + np.zeros(length)
 
 
 def per_batch(function: Callable[[np.ndarray], np.ndarray], values: Column) -> Column:

@@ -21,6 +21,7 @@ from tabloom.functions.expressions import argmax_index
 
 NOTHING, TRAIN, VALIDATION, TEST = range(4)
 BETAS, EPSILON = (0.9, 0.999), 1e-8
+WEIGHTS_PER_NUMBER = 16  # weights that take about as long as scanning one number; rows are dealt out by that
 
 
 @dataclass
@@ -188,4 +189,4 @@ class AdamModel(Model):
         return df.sparkSession.createDataFrame(self.history, schema)
 
 
-__all__ = ["NOTHING", "TEST", "TRAIN", "VALIDATION", "AdamModel", "Network", "confusion_together", "train_together"]
+__all__ = ["NOTHING", "TEST", "TRAIN", "VALIDATION", "WEIGHTS_PER_NUMBER", "AdamModel", "Network", "confusion_together", "train_together"]

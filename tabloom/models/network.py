@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tabloom.functions.blocks import packed
 from tabloom.functions.expressions import derived_seed
-from tabloom.models.adam import TEST, TRAIN, VALIDATION, AdamModel, Network, train_together
+from tabloom.models.adam import TEST, TRAIN, VALIDATION, WEIGHTS_PER_NUMBER, AdamModel, Network, train_together
 from tabloom.operators.metrics import log_loss
 from tabloom.operators.splits import holdout
 from tabloom.session import dealt, keep
@@ -66,11 +66,12 @@ class NeuralNetwork(Estimator):
             part = part.select(self.features, self.label, F.lit(role).alias("_role"))
             rows = part if rows is None else rows.unionByName(part)
         width = rows.select(self.features).first()[0].size
-        blocks = keep(packed(dealt(rows, rows.count(), width), self.features, self.label, F.array("_role")))
         network = Network(
             width, self.topology, max(self.classes, 2), 0.01 if self.learning_rate is None else self.learning_rate,
             self.max_epochs, self.min_loss, self.patience, self.seed,
         )
+        rows = dealt(rows, rows.count(), max(width, len(network.weights) // WEIGHTS_PER_NUMBER))
+        blocks = keep(packed(rows, self.features, self.label, F.array("_role")))
         train_together(blocks, [network])
         blocks.unpersist()
         return AdamModel(network, self.features)
