@@ -1,16 +1,18 @@
-"""Benchmark decontamination with seeds that lose nothing.
+"""Benchmark decontamination with spaced seeds that lose nothing.
 
 An item counts as found on a diagonal (place in the document minus place in the item) if some window of
 ``WINDOW`` of its words (all of them, if it is shorter) agrees in at least ``SIMILAR`` of its places; words
-that the document does not have, before its start or beyond its end, are unequal. The unequal words of such a
-window leave equal words in a row, and by the pigeonhole principle some row has at least ``row_length`` of
-them. So the hashes of that many words in a row, at all places of all items, meet those of all documents in an
-equality join; of the hits of one row only the first is kept, and around it the two word sequences are laid
-side by side.
+that the document does not have, before its start or beyond its end, are unequal. Seeds are hashes of the words
+under a fixed mask that ignores some positions. ``MASKS`` has a family of masks for each number of unequal words
+that a window may have: wherever those lie in a window of the family's size, one mask fits between them at some
+place. A longer window has such a window in it, so it is covered too; a test enumerates every case.
+
+Seeds of all places of all items meet those of all documents in an equality join that carries ids and places
+only. Each diagonal that is hit is kept once, and the words of the documents with hits are then laid beside the
+item's to count equal places.
 
 Words are maximal runs of letters and digits, lower-cased. Items under ``LEAST`` words are too short to tell
-and find nothing. The SQL joins on the spaced ``MASKS`` and wants an overlap of a whole window; it states a
-part of the result.
+and find nothing. The SQL uses no seeds: it counts equal words on all diagonals.
 
 Edge cases: null texts have no words; null ids stay null in the result; repeated rows of the same id and text
 give one result; repeated items of the same id and text too; empty tables give no rows. Only doc_id and text,
@@ -26,12 +28,16 @@ from pyspark.sql import functions as F
 
 from tabloom.llm.common import written
 
-# The masks of the SQL. A 1 takes part in the hash.
-MASKS = ("110110101", "1010011011")
+# By the size of a window, masks that cover all its accepted patterns. A 1 takes part in the hash.
+MASKS = {
+    5: ("1011", "1101"),
+    10: ("11001011", "111011", "11010011"),
+    15: ("1011100101", "10100010111", "111001010001"),
+    16: ("11110001001", "1001001111"),
+}
 LEAST = 5
 WINDOW = 16
 SIMILAR = 0.8
-BROADCAST_SEEDS = 1_000_000  # 40 bytes each; a benchmark with more seeds is joined by a shuffle
 
 
 def word_hashes(text: Column) -> Column:
@@ -40,25 +46,30 @@ def word_hashes(text: Column) -> Column:
     return F.transform(F.filter(split, lambda w: w != ""), lambda w: F.xxhash64(w))
 
 
-def row_length(words: int) -> int:
-    """Equal words in a row that every accepted window of an item of so many words has."""
-    window = min(WINDOW, words)
-    equal = math.ceil(window * SIMILAR)
-    return -(-equal // (window - equal + 1))
+def family(words: int) -> int:
+    """The window size whose masks serve items of so many words."""
+    return max(size for size in MASKS if size <= min(words, WINDOW))
+
+
+def seeds(words: str, masks: list[str]) -> Column:
+    """An array of (place, seed) of all masks at all places of an array of words."""
+    count, shortest = F.size(words), min(map(len, masks))
 
+    def at(place: Column) -> Column:
+        made = []
+        for mask in masks:
+            picked = [F.get(words, place + i) for i, bit in enumerate(mask) if bit == "1"]
+            seed = F.when(place + len(mask) <= count, F.xxhash64(F.lit(mask), *picked))
+            made.append(F.struct(place.alias("place"), seed.alias("seed")))
+        return F.array(*made)
 
-def seeds(rows: DataFrame, lengths: list[int]) -> DataFrame:
-    """``rows`` (with an array ``words``) once for each place and length: plus ``place``, ``seed`` and the word ``before`` it."""
-    count, shortest = F.size("words"), min(lengths)
-    places = F.when(count >= shortest, F.sequence(F.lit(0), count - shortest))
-    placed = rows.select("*", F.explode(places).alias("place"))
+    return F.flatten(F.transform(F.sequence(F.lit(0), count - shortest), at))
 
-    def seed(length: int) -> Column:
-        picked = [F.get("words", F.col("place") + at) for at in range(length)]
-        return F.when(F.col("place") + length <= count, F.xxhash64(F.lit(length), *picked))
 
-    made = F.explode(F.array(*[seed(n) for n in lengths]))
-    return placed.select("*", F.get("words", F.col("place") - 1).alias("before"), made.alias("seed")).where("seed IS NOT NULL")
+def placed(rows: DataFrame, keys: list[str], masks: list[str]) -> DataFrame:
+    """The keys with each place and seed of their ``words``; the words stay behind."""
+    long_enough = rows.where(F.size("words") >= min(map(len, masks)))
+    return long_enough.select(*keys, F.inline(seeds("words", masks))).where("seed IS NOT NULL")
 
 
 def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -66,41 +77,49 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     items = written(
         benchmark.select("item_id", F.xxhash64("text").alias("item_hash"), word_hashes(F.col("text")).alias("words")).distinct(), "benchmark-items"
     )
-    sizes = items.select(F.least(F.size("words"), F.lit(WINDOW)).alias("n")).where(F.col("n") >= LEAST).distinct().collect()  # at most WINDOW rows
-    by_length: dict[int, list[int]] = {}
-    for (n,) in sizes or [(WINDOW,)]:
-        by_length.setdefault(row_length(n), []).append(n)
+    words = F.size("words")
+    serving = F.lit(None).cast("int")
+    for size in sorted(MASKS):
+        serving = F.when(words >= size, F.lit(size)).otherwise(serving)
+    used = [size for (size,) in items.select(serving.alias("f")).where("f IS NOT NULL").distinct().collect()]  # at most four
     of_items = None
-    for length, of in by_length.items():
-        part = seeds(items.where(F.least(F.size("words"), F.lit(WINDOW)).isin(of)), [length])
+    for size in used or [WINDOW]:
+        part = placed(items.where(serving == size), ["item_id", "item_hash"], list(MASKS[size]))
         of_items = part if of_items is None else of_items.unionByName(part)
-    of_items = written(
-        of_items.select("seed", "item_id", "item_hash", F.col("place").alias("item_place"), F.size("words").alias("item_words"), F.col("before").alias("item_before")),
-        "benchmark-seeds",
-    )
-
-    texts = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), word_hashes(F.col("text")).alias("words"))
-    small = of_items.count() <= BROADCAST_SEEDS
-    hits = seeds(texts, sorted(by_length)).join(F.broadcast(of_items) if small else of_items, "seed")
-    hits = hits.where(~F.coalesce(F.col("before") == F.col("item_before"), F.lit(False)))  # the first place of a row of equal words
-    diagonal = F.col("place") - F.col("item_place")
-    start = F.greatest(-diagonal, F.lit(0))
-    length = F.least(F.col("item_words"), F.size("words") - diagonal) - start
-    aligned = hits.select(
-        "doc_id", "text_hash", "item_id", "item_hash", diagonal.alias("diagonal"), start.alias("item_start"), F.slice("words", diagonal + start + 1, length).alias("side")
-    )
-
-    item = items.select(F.col("item_id").alias("of_item"), F.col("item_hash").alias("of_hash"), F.col("words").alias("item_words"))
-    same_item = F.col("item_id").eqNullSafe(F.col("of_item")) & F.col("item_hash").eqNullSafe(F.col("of_hash"))
-    equal = F.zip_with("side", F.slice("item_words", F.col("item_start") + 1, F.size("side")), lambda a, b: (a == b).cast("int"))
-    window = F.least(F.lit(WINDOW), F.size("item_words"))
+    # written, so that the planner knows its bytes when it picks the join
+    of_items = written(of_items.withColumnRenamed("place", "item_place"), "benchmark-seeds")
+
+    texts = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
+    masks = [mask for size in used or [WINDOW] for mask in MASKS[size]]
+    of_docs = placed(texts.select("doc_id", "text_hash", word_hashes(F.col("text")).alias("words")), ["doc_id", "text_hash"], masks)
+    diagonal = (F.col("place") - F.col("item_place")).alias("diagonal")
+    hits = written(of_docs.join(of_items, "seed").select("doc_id", "text_hash", "item_id", "item_hash", diagonal).distinct(), "benchmark-hits")
+
+    def same(id_: str, hash_: str, other: str) -> Column:
+        return F.col(id_).eqNullSafe(F.col(f"{other}_id")) & F.col(hash_).eqNullSafe(F.col(f"{other}_hash"))
+
+    hit = hits.select(F.col("doc_id").alias("hit_id"), F.col("text_hash").alias("hit_hash")).distinct()
+    texts = texts.join(hit, same("doc_id", "text_hash", "hit"), "left_semi")
+    # a text that many rows repeat is laid beside the item once
+    sides = texts.groupBy(F.col("doc_id").alias("of_id"), F.col("text_hash").alias("of_hash")).agg(F.first("text").alias("text"))
+    sides = sides.select("of_id", "of_hash", word_hashes(F.col("text")).alias("doc_words"))
+    item = items.select(F.col("item_id").alias("by_id"), F.col("item_hash").alias("by_hash"), F.col("words").alias("item_words"))
+    both = hits.join(sides, same("doc_id", "text_hash", "of")).join(item, same("item_id", "item_hash", "by"))
+
+    start = F.greatest(-F.col("diagonal"), F.lit(0))
+    length = F.least(F.size("item_words"), F.size("doc_words") - F.col("diagonal")) - start
+    aligned = both.select(
+        "doc_id", "text_hash", "item_id", "item_hash", "diagonal", start.alias("item_start"), F.size("item_words").alias("item_size"),
+        F.zip_with(
+            F.slice("doc_words", F.col("diagonal") + start + 1, length), F.slice("item_words", start + 1, length), lambda a, b: (a == b).cast("int")
+        ).alias("equal"),
+    )
+    window = F.least(F.lit(WINDOW), F.col("item_size"))
     add = lambda values: F.aggregate(values, F.lit(0), lambda total, v: total + v)
     within = F.array_max(F.transform(F.sequence(F.lit(1), F.size("equal") - window + 1), lambda s: add(F.slice(F.col("equal"), s, window))))
     best = F.when(F.size("equal") >= window, within).otherwise(add(F.col("equal")))  # a shorter overlap fits into one window
     return (
-        aligned.join(F.broadcast(item) if small else item, same_item)
-        .withColumn("equal", equal)
-        .withColumn("equal_words", add(F.col("equal")))
+        aligned.withColumn("equal_words", add(F.col("equal")))
         .where(F.col("equal_words") >= F.ceil(window * SIMILAR))
         .withColumn("best_window", best)
         .where(F.col("best_window") >= F.ceil(window * SIMILAR))
@@ -133,36 +152,19 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 ORACLE = rf"""
-WITH d AS (SELECT doc_id, text, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{{L}}\p{{N}}]+'), lambda x: x <> '') AS w
+WITH d AS (SELECT row_number() OVER () AS i, doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{{L}}\p{{N}}]+'), lambda x: x <> '') AS w
   FROM (SELECT DISTINCT doc_id, text FROM documents)),
-b AS (SELECT item_id, text, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{{L}}\p{{N}}]+'), lambda x: x <> '') AS w
+b AS (SELECT row_number() OVER () AS j, item_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{{L}}\p{{N}}]+'), lambda x: x <> '') AS w
   FROM (SELECT DISTINCT item_id, text FROM benchmark)),
-dp AS (SELECT doc_id, w, unnest(range(len(w))) AS p FROM d),
-bp AS (SELECT item_id, w, unnest(range(len(w))) AS q FROM b),
-ds AS (
-  {{doc_seeds}}),
-bs AS (
-  {{item_seeds}}),
-hits AS (SELECT DISTINCT doc_id, ds.w AS dw, item_id, bs.w AS bw, p - q AS g FROM ds JOIN bs USING (m, seed)),
-sides AS (SELECT doc_id, item_id, g, greatest(-g, 0) AS s, least(len(bw), len(dw) - g) - greatest(-g, 0) AS n, dw, bw FROM hits),
-e AS (SELECT doc_id, item_id, g, s, n, least({WINDOW}, len(bw)) AS width,
-  list_transform(range(n), lambda i: CASE WHEN dw[g + s + i + 1] = bw[s + i + 1] THEN 1 ELSE 0 END) AS eq FROM sides),
-f AS (SELECT *, list_max(list_transform(range(1, n - width + 2), lambda i: list_sum(eq[i:i + width - 1]))) AS best FROM e WHERE n >= width)
+dp AS (SELECT i, unnest(w) AS word, unnest(range(len(w))) AS p FROM d),
+bp AS (SELECT j, unnest(w) AS word, unnest(range(len(w))) AS q, len(w) AS size FROM b WHERE len(w) >= {LEAST}),
+g AS (SELECT i, j, p - q AS g FROM dp JOIN bp USING (word) GROUP BY i, j, p - q, size HAVING count(*) >= ceil(least({WINDOW}, size) * {SIMILAR})),
+sides AS (SELECT i, j, doc_id, item_id, g, greatest(-g, 0) AS s, least(len(b.w), len(d.w) - g) - greatest(-g, 0) AS n, d.w AS dw, b.w AS bw
+  FROM g JOIN d USING (i) JOIN b USING (j)),
+e AS (SELECT *, least({WINDOW}, len(bw)) AS width,
+  list_transform(range(n), lambda x: CASE WHEN dw[g + s + x + 1] = bw[s + x + 1] THEN 1 ELSE 0 END) AS eq FROM sides),
+f AS (SELECT *, CASE WHEN n < width THEN list_sum(eq)
+  ELSE list_max(list_transform(range(1, n - width + 2), lambda x: list_sum(eq[x:x + width - 1]))) END AS best FROM e)
 SELECT doc_id, item_id, CAST(g + s AS INTEGER) AS doc_start, CAST(s AS INTEGER) AS item_start, CAST(n AS INTEGER) AS overlap,
   CAST(list_sum(eq) AS INTEGER) AS equal_words, CAST(best AS INTEGER) AS best_window
 FROM f WHERE best >= ceil(width * {SIMILAR})"""
-
-
-def _seed_sql(ids: str, place: str, rows: str, bench: bool) -> str:
-    parts = []
-    for number, mask in enumerate(MASKS):
-        picked = ", ".join(f"w[{place} + {at + 1}]" for at, c in enumerate(mask) if c == "1")
-        parts.append(f"SELECT {ids}, w, {place}, {number} AS m, concat_ws(' ', {picked}) AS seed FROM {rows} WHERE {place} + {len(mask)} <= len(w)")
-    for n in range(LEAST, min(len(m) for m in MASKS)):
-        fits = f"{place} = 0 AND len(w) = {n}" if bench else f"{place} + {n} <= len(w)"
-        picked = ", ".join(f"w[{place} + {at + 1}]" for at in range(n))
-        parts.append(f"SELECT {ids}, w, {place}, {10 + n} AS m, concat_ws(' ', {picked}) AS seed FROM {rows} WHERE {fits}")
-    return "\n  UNION ALL ".join(parts)
-
-
-ORACLE = ORACLE.replace("{doc_seeds}", _seed_sql("doc_id", "p", "dp", False)).replace("{item_seeds}", _seed_sql("item_id", "q", "bp", True))
