@@ -4,9 +4,13 @@ A record is hashed into one of a few thousand slots. Bytes are added up per slot
 map says which shard owns a slot. Rebalancing edits the map: it moves the fewest, best-fitting slots
 from heavy to light shards and stores the result as the next version; records are never rehashed.
 
+A slot is a hash of id and text, so repeated rows would pile up in one. Pairs of id and text that hold more than a
+quarter of a mean slot's bytes, at most four times as many as there are slots, are spread over all slots by a hash of
+the row's number as well. Only narrow rows are numbered within their slots; whole rows are joined to their numbers.
+
 Edge cases: a null text counts one byte, like an empty one, and its checksum is 0; a null id is
-hashed by its text; repeated rows share a slot and get positions of their own; an empty table gives
-no rows. Only ``doc_id`` and ``text`` are read, so extra columns cannot clash.
+hashed by its text; repeated rows share a slot unless they are many, and get positions of their own; an empty table
+gives no rows. Result columns whose names the given columns have already get underscores behind them.
 """
 
 from __future__ import annotations
@@ -54,16 +58,29 @@ def rebalanced(owner: Mapping[int, int], sizes: Mapping[int, int], shards: int)
         owner[slot] = light
 
 
-def measured(docs: DataFrame, columns: list[str], slots: int) -> DataFrame:
-    """``row`` (the given columns) with size, text_crc32 and virtual_slot."""
+def measured(docs: DataFrame, columns: list[str]) -> DataFrame:
+    """``row`` (the given columns) with size, text_crc32, the hash of id and text, and the row's number."""
     return docs.select(
         F.struct(*columns).alias("row"),
+        F.col("doc_id").alias("id"),
         (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long").alias("size"),
         F.coalesce(F.crc32("text"), F.lit(0)).cast("long").alias("text_crc32"),
-        F.pmod(F.xxhash64("doc_id", "text"), F.lit(slots)).cast("int").alias("virtual_slot"),
+        F.xxhash64("doc_id", "text").alias("hash"),
+        F.monotonically_increasing_id().alias("number"),
     )
 
 
+def in_slots(records: DataFrame, slots: int) -> DataFrame:
+    """Narrow records with their virtual slots: id, size, text_crc32, number, virtual_slot."""
+    total = records.agg(F.sum("size")).first()[0] or 0
+    by_hash = records.groupBy(F.col("hash").alias("heavy")).agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("rows"))
+    # each has its share of all bytes, so there are at most 4 * slots of them
+    heavy = by_hash.where((F.col("bytes") > total / (4 * slots)) & (F.col("rows") > 1)).select("heavy")
+    hashed = F.when(F.col("heavy").isNull(), F.col("hash")).otherwise(F.xxhash64("hash", "number"))
+    found = records.join(F.broadcast(heavy), F.col("hash") == F.col("heavy"), "left")
+    return found.select("id", "size", "text_crc32", "number", F.pmod(hashed, F.lit(slots)).cast("int").alias("virtual_slot"))
+
+
 def assign(
     docs: DataFrame, shards: int = 16, slots: int = SLOTS, map_path: str | None = None, columns: list[str] | None = None
 ) -> DataFrame:
@@ -74,7 +91,8 @@ def assign(
     the latest is the one that is edited.
     """
     spark = docs.sparkSession
-    records = written(measured(docs, ["doc_id"], slots), "shard-records")
+    base = written(measured(docs, columns or ["doc_id"]), "shard-records")
+    records = written(in_slots(base, slots), "shard-slots")
     stats = records.groupBy("virtual_slot").agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("rows")).collect()
     sizes = {r["virtual_slot"]: r["bytes"] for r in stats}
     counts = {r["virtual_slot"]: r["rows"] for r in stats}
@@ -94,21 +112,19 @@ def assign(
         rows.append({"virtual_slot": slot, "shard": owner[slot], "first": ahead[owner[slot]]})
         ahead[owner[slot]] += counts.get(slot, 0)
     owners = F.broadcast(small_table(spark, rows, "virtual_slot int, shard int, first bigint"))  # one row per slot
-    in_slot = Window.partitionBy("virtual_slot").orderBy(F.col("row.doc_id"), "text_crc32", "size")
-    rows = records if columns is None else measured(docs, columns, slots)
-    return (
-        rows.withColumn("place", F.row_number().over(in_slot) - 1)
-        .join(owners, "virtual_slot")
-        .select(
-            "row",
-            "size",
-            "text_crc32",
-            "shard",
-            (F.col("first") + F.col("place")).cast("long").alias("slot"),
-            "virtual_slot",
-            F.lit(version).alias("map_version"),
-        )
-    )
+    in_slot = Window.partitionBy("virtual_slot").orderBy("id", "text_crc32", "size", "number")
+    placed = records.withColumn("place", F.row_number().over(in_slot) - 1).join(owners, "virtual_slot")
+    results = [
+        "size",
+        "text_crc32",
+        "shard",
+        (F.col("first") + F.col("place")).cast("long").alias("slot"),
+        "virtual_slot",
+        F.lit(version).alias("map_version"),
+    ]
+    if columns is None:
+        return placed.select(F.struct(F.col("id").alias("doc_id")).alias("row"), *results)
+    return base.select("row", "number").join(placed.select("number", *results), "number").drop("number")
 
 
 def store_map(spark, path: str, version: int, owner: Mapping[int, int]) -> None:
@@ -130,7 +146,13 @@ RESULT = ("size", "text_crc32", "law", "shard", "slot", "grown_shard", "virtual_
 
 
 def sharded(docs: DataFrame, shards: int = 16, columns: list[str] | None = None) -> DataFrame:
-    """The contract's columns: doc_id, or the given columns but those named like a result, and the results."""
+    """The contract's columns: doc_id, or the given columns, and the results under free names."""
     placed = assign(docs, shards, columns=columns).withColumns({"law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")})
-    kept = [F.col("row")[c] for c in columns or ["doc_id"] if c not in RESULT]
-    return placed.select(*[c.alias(n) for c, n in zip(kept, [c for c in columns or ["doc_id"] if c not in RESULT])], *RESULT)
+    taken, renamed = [c.lower() for c in columns or ["doc_id"]], []
+    for name in RESULT:
+        free = name
+        while free.lower() in taken:  # column names are compared without case
+            free += "_"
+        taken.append(free)
+        renamed.append(F.col(name).alias(free))
+    return placed.select(*[F.col("row")[c].alias(c) for c in columns or ["doc_id"]], *renamed)

@@ -45,6 +45,27 @@ def test_shards_near_equal_and_repeatable(spark):
     assert sorted((r.doc_id, r.shard, r.slot) for r in rows) == sorted((r.doc_id, r.shard, r.slot) for r in again)
 
 
+def test_shards_stay_balanced_where_rows_repeat(spark):
+    rows = [(7, "the same long row " * 20, "en", "b")] * 1500 + [(i, "text " * (i % 90), "en", "a") for i in range(100, 2600)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, slot string, size string").repartition(6)
+    got = sharding.sharded(docs, columns=docs.columns)
+    assert got.columns == [*docs.columns, "size_", "text_crc32", "law", "shard", "slot_", "grown_shard", "virtual_slot", "map_version"]
+    loads, slots = collections.Counter(), collections.Counter()
+    found = got.collect()
+    for r in found:
+        loads[r.shard] += r.size_
+        slots[r.virtual_slot] += 1
+    mean = sum(loads.values()) / 16
+    assert len(loads) == 16 and max(loads.values()) < 1.05 * mean and max(slots.values()) < 20
+    assert collections.Counter((r.doc_id, r.text, r.size, r.slot) for r in found) == collections.Counter((a, b, d, c) for a, b, c, d in rows)
+    for shard in range(16):
+        assert sorted(r.slot_ for r in found if r.shard == shard) == list(range(sum(r.shard == shard for r in found)))
+    narrow = sharding.sharded(docs).collect()
+    assert collections.Counter((r.doc_id, r.size) for r in narrow) == collections.Counter((r.doc_id, r.size_) for r in found)
+    empty = sharding.sharded(docs.limit(0), columns=docs.columns)
+    assert empty.collect() == [] and empty.columns == got.columns
+
+
 def test_rebalancing_edits_the_stored_map(spark, tmp_path):
     path = f"file://{tmp_path}/map"
     docs = table(spark, SMALL, "documents")
@@ -274,6 +295,17 @@ def test_every_accepted_pattern_of_substitutions_is_found(spark):
     assert len({w[0] for w in wanted}) > 1000 and overlaps_of(spark, docs, items) == collections.Counter(wanted)
 
 
+@pytest.mark.parametrize("words", range(5, 41))
+def test_masks_are_spaced_and_fit_between_all_accepted_substitutions(words):
+    width = min(decontamination.WINDOW, words)
+    masks = decontamination.MASKS[decontamination.family(words)]
+    assert all(m[0] == m[-1] == "1" and "0" in m and len(m) <= width for m in masks)
+    for places in itertools.combinations(range(width), width - math.ceil(width * decontamination.SIMILAR)):
+        assert any(
+            all(bit == "0" or start + i not in places for i, bit in enumerate(m)) for m in masks for start in range(width - len(m) + 1)
+        ), places
+
+
 def test_passages_at_the_edges_of_documents_are_found(spark):
     words = [f"w{j}" for j in range(40)]
     items = [(0, " ".join(words)), (1, " ".join(f"v{j}" for j in range(9)))]
