@@ -51,25 +51,23 @@ def family(words: int) -> int:
     return max(size for size in MASKS if size <= min(words, WINDOW))
 
 
-def seeds(words: str, masks: list[str]) -> Column:
-    """An array of (place, seed) of all masks at all places of an array of words."""
-    count, shortest = F.size(words), min(map(len, masks))
-
-    def at(place: Column) -> Column:
-        made = []
-        for mask in masks:
-            picked = [F.get(words, place + i) for i, bit in enumerate(mask) if bit == "1"]
-            seed = F.when(place + len(mask) <= count, F.xxhash64(F.lit(mask), *picked))
-            made.append(F.struct(place.alias("place"), seed.alias("seed")))
-        return F.array(*made)
-
-    return F.flatten(F.transform(F.sequence(F.lit(0), count - shortest), at))
-
-
 def placed(rows: DataFrame, keys: list[str], masks: list[str]) -> DataFrame:
-    """The keys with each place and seed of their ``words``; the words stay behind."""
-    long_enough = rows.where(F.size("words") >= min(map(len, masks)))
-    return long_enough.select(*keys, F.inline(seeds("words", masks))).where("seed IS NOT NULL")
+    """The keys with each place and seed of their ``words``; the words stay behind.
+
+    The words are laid beside themselves moved by one, two, ... places, so that a place has its next words as columns.
+    """
+    span, count = max(map(len, masks)), F.size("words")
+    moved = [F.slice("words", i + 1, F.greatest(count - i, F.lit(0))).alias(f"w{i}") for i in range(span)]
+    # the outer form: the plain one makes the planner split every text once more to see whether it has words
+    beside = rows.select(*keys, F.posexplode_outer(F.arrays_zip(*moved)).alias("place", "at"))
+
+    def seed(mask: str) -> Column:
+        picked = [F.col(f"at.w{i}") for i, bit in enumerate(mask) if bit == "1"]
+        number = [m for family in MASKS.values() for m in family].index(mask)
+        return F.when(picked[-1].isNotNull(), F.xxhash64(F.lit(number), *picked))
+
+    made = beside.select(*keys, "place", F.explode(F.array(*map(seed, masks))).alias("seed"))
+    return made.where("seed IS NOT NULL")
 
 
 def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
