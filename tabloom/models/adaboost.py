@@ -48,7 +48,7 @@ class AdaBoost(Estimator):
     def _fit(self, df: DataFrame) -> AdaBoostModel:
         rows = df.select(vector_to_array(self.features).alias("x"), F.col(self.label).cast("double").alias("y"))
         n, width = rows.count(), len(rows.select("x").first()["x"])
-        cuts = _cut_points(rows, width, self.bins)
+        cuts = cut_points(rows, width, self.bins)
         binned = keep(dealt(rows, n, width).mapInArrow(_binner(cuts), "b array<tinyint>, y double"))
         stumps: list[Stump] = []
         log_total = math.log(max(n, 1))
@@ -71,7 +71,7 @@ class AdaBoost(Estimator):
         return AdaBoostModel(tuple(stumps), self.classes, self.features)
 
 
-def _cut_points(rows: DataFrame, width: int, bins: int) -> list[np.ndarray]:
+def cut_points(rows: DataFrame, width: int, bins: int) -> list[np.ndarray]:
     """Candidate thresholds per feature from one sketch pass; the largest value is no cut."""
     probs = F.array(*[F.lit(i / bins) for i in range(1, bins)])
     found = rows.agg(

@@ -7,10 +7,11 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.ml import Estimator
-from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.regression import DecisionTreeRegressor
 
 from tabloom.models.adaboost import AdaBoost
+from tabloom.models.grown import GrownTree
 from tabloom.models.margins import KERNEL_DEFAULTS, CalibratedMargins, GradientBoosting, SupportVectorMachine
 from tabloom.models.neighbours import NearestNeighbours
 from tabloom.models.network import NeuralNetwork
@@ -73,9 +74,7 @@ def get_model(name: str, settings: Mapping | None = None, columns: Columns | Non
         svm = SupportVectorMachine(c.classes, components=s.get("components", 200), max_iter=s.get("max_iter", 200), tol=s.get("tol", 1e-3), **chosen, **own)
         return svm if kind == "SVC" else CalibratedMargins(svm, c.key, c.label, seed=c.seed)
     if kind == "DecisionTreeClassifier":
-        return DecisionTreeClassifier(
-            **io, maxDepth=tree_depth(s.get("max_depth", 5)), minInstancesPerNode=s.get("min_samples_leaf", 1), seed=c.seed
-        )
+        return GrownTree(c.classes, s.get("max_depth", 5), s.get("min_samples_leaf", 1), c.features, c.label)
     if kind == "DecisionTreeRegressor":
         return DecisionTreeRegressor(**io, maxDepth=tree_depth(s.get("max_depth", 5)), seed=c.seed)
     if kind == "KNeighborsClassifier":

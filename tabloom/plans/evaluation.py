@@ -21,9 +21,10 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tabloom.functions.blocks import packed
+from tabloom.functions.blocks import over_blocks, packed, summed
 from tabloom.functions.expressions import argmax_index, derived_seed, uniform_hash
 from tabloom.models.adam import TEST, TRAIN, VALIDATION, WEIGHTS_PER_NUMBER, Network, confusion_together, train_together
+from tabloom.models.grown import GrownModel, grow_together, grown_trees, scorer
 from tabloom.models.registry import MODEL_NAMES, Columns, get_model
 from tabloom.operators.metrics import METRICS, averaged_metrics, confusion_matrix, fold_summary, log_loss
 from tabloom.operators.splits import holdout
@@ -92,7 +93,8 @@ def fold_counts(
 
     ``configs`` are (family, settings). A network runs ``executions`` times per fold with its
     own seeds, and its validation share is rescaled from the table to the training part. Networks with a
-    learning rate are trained together, in the same scans, however many settings, folds and executions there are.
+    learning rate are trained together, in the same scans, however many settings, folds and executions there are, and so
+    are decision trees.
     """
     needed = [columns.key, columns.features, columns.label, fold]
     data = df if df.is_cached else df.select(*dict.fromkeys(needed))
@@ -122,11 +124,14 @@ def fold_counts(
         for k in sorted(sizes)
         for execution in range(settings.get("executions", 1) if MODEL_NAMES.get(family) == "ANN" else 1)
     ]
-    together = [r for r in runs if make is get_model and MODEL_NAMES.get(r[1]) == "ANN" and r[2].get("learning_rate") is not None]
-    tasks = [one(*r) for r in runs if r not in together]
+    networks = [r for r in runs if make is get_model and MODEL_NAMES.get(r[1]) == "ANN" and r[2].get("learning_rate") is not None]
+    trees = [r for r in runs if make is get_model and MODEL_NAMES.get(r[1]) == "DecisionTreeClassifier"]
+    tasks = [one(*r) for r in runs if r not in networks and r not in trees]
     rows = [r for part in run_parallel(tasks, parallelism, df.sparkSession) for r in part]
-    if together:
-        rows += network_counts(data, together, columns, classes, fold, sizes)
+    if networks:
+        rows += network_counts(data, networks, columns, classes, fold, sizes)
+    if trees:
+        rows += tree_counts(data, trees, columns, classes, fold, total * width)
     if not df.is_cached:
         data.unpersist()
     return df.sparkSession.createDataFrame(rows, COUNTS)
@@ -157,6 +162,11 @@ def network_counts(
     train_together(blocks, networks)
     counts = confusion_together(blocks, networks)
     blocks.unpersist()
+    return _count_rows(runs, counts, classes)
+
+
+def _count_rows(runs: Sequence[tuple], counts: np.ndarray, classes: Sequence[str]) -> list[tuple]:
+    """Rows of COUNTS from (run, true class, predicted class); unknown true classes come last."""
     names = [*classes, UNSEEN]
     return [
         (family, index, config_text(settings), k, execution, names[int(true)], classes[int(found)], int(counts[place, true, found]))
@@ -165,6 +175,34 @@ def network_counts(
     ]
 
 
+def tree_counts(data: DataFrame, runs: Sequence[tuple], columns: Columns, classes: Sequence[str], fold: str, numbers: int) -> list[tuple]:
+    """Confusion counts of decision trees grown together; ``runs`` as for networks, ``numbers`` of the whole table.
+
+    A tree cut off at a depth is the tree of that depth, so each smallest leaf needs one tree a fold.
+    """
+    k = max(columns.classes, 2)
+    folds = sorted({r[3] for r in runs})
+    blocks = keep(packed(dealt(data, numbers, 1), columns.features, columns.label, F.array(*[(F.col(fold) != v).cast("tinyint") for v in folds])))
+    plans = []
+    for least in sorted({r[2].get("min_samples_leaf", 1) for r in runs}):
+        depths = [r[2].get("max_depth", 5) for r in runs if r[2].get("min_samples_leaf", 1) == least]
+        grown = grow_together(blocks, data, columns.features, len(folds), k, -1 if min(depths) < 0 else max(depths), least)
+        for place, (_, _, settings, v, _) in enumerate(runs):
+            if settings.get("min_samples_leaf", 1) == least:
+                plans.append((place, folds.index(v), scorer([grown[folds.index(v)]], settings.get("max_depth", 5))))
+
+    def add(total, x, y, r):
+        true = np.where(np.isnan(y), k, y).astype("int64")
+        for place, role, score in plans:
+            here = r[:, role] == 0
+            at = (place * (k + 1) + true[here]) * k + score(x[here]).argmax(axis=1)
+            total += np.bincount(at, minlength=len(total))
+
+    counts = summed(blocks, over_blocks(add), len(runs) * (k + 1) * k).reshape(len(runs), k + 1, k)
+    blocks.unpersist()
+    return _count_rows(runs, counts, classes)
+
+
 CONFIG = ["family", "config_index", "config"]
 
 
@@ -280,7 +318,7 @@ class Bagging(Estimator):
         data = keep(df)
 
         def one(bag: int):
-            inside = uniform_hash(derived_seed(c.seed, f"bag {bag}"), c.key) < F.lit(self.bagging_fraction)
+            inside = self._inside(bag)
             estimator = get_model(self.name, self.settings, replace(c, seed=c.seed + bag))
             return lambda: estimator.fit(data.where(inside))
 
@@ -288,7 +326,43 @@ class Bagging(Estimator):
         data.unpersist()
         return models
 
-    def _fit(self, df: DataFrame) -> BaggingModel:
+    def _inside(self, bag: int) -> Column:
+        return uniform_hash(derived_seed(self.columns.seed, f"bag {bag}"), self.columns.key) < F.lit(self.bagging_fraction)
+
+    def _fit(self, df: DataFrame) -> Model:
+        if MODEL_NAMES.get(self.name) == "DecisionTreeClassifier":
+            return self._trees(df)
+        return self._one_by_one(df)
+
+    def _trees(self, df: DataFrame) -> GrownModel:
+        """All bags of trees in one growth, all ensemble sizes in one scan of the hold-out."""
+        c, k = self.columns, max(self.columns.classes, 2)
+        shape = (k, self.settings.get("max_depth", 5), self.settings.get("min_samples_leaf", 1), c.features, c.label)
+        size, losses = self.sizes[0], []
+        if len(self.sizes) > 1:
+            marked = holdout(df, c.key, 1 - self.train_ratio, derived_seed(c.seed, "bagging"), "_side")
+            train, held = (marked.where(F.col("_side") == s).drop("_side") for s in ("train", "test"))
+            scores = [scorer([t]) for t in grown_trees(train, [self._inside(b) for b in range(self.sizes[-1])], *shape)]
+            sizes = self.sizes
+
+            def add(total, x, y, r):
+                known = ~np.isnan(y)
+                x, true, sums = x[known], y[known].astype("int64"), 0.0
+                total[-1] += len(true)
+                for number, score in enumerate(scores, 1):
+                    sums = sums + score(x)
+                    if number in sizes:
+                        p = np.clip(sums[np.arange(len(true)), true] / number, 1e-15, 1 - 1e-15)
+                        total[sizes.index(number)] -= np.log(p).sum()
+
+            sums = summed(packed(held, c.features, c.label, F.array(F.lit(1))), over_blocks(add), len(sizes) + 1)
+            losses = [(n, float(v / max(sums[-1], 1))) for n, v in zip(sizes, sums)]
+            size = min(losses, key=lambda t: (t[1], t[0]))[0]
+        model = GrownModel(grown_trees(df, [self._inside(b) for b in range(size)], *shape), c.features)
+        model.losses = losses
+        return model
+
+    def _one_by_one(self, df: DataFrame) -> BaggingModel:
         c, losses = self.columns, []
         size = self.sizes[0]
         if len(self.sizes) > 1:

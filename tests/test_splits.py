@@ -130,3 +130,15 @@ def test_sample_columns(spark):
     names = [f"c{i}" for i in range(20)]
     chosen = X.sample_columns(names, 5, 1)
     assert len(chosen) == 5 and chosen == sorted(chosen, key=names.index) and X.sample_columns(names, 50) == names
+
+
+def test_quantiles_of_groups_larger_than_the_sketch(spark):
+    rng = np.random.default_rng(6)
+    big = np.concatenate([rng.lognormal(0, 3, 25_000), np.repeat([1.0, 2.0], 9_000), -rng.lognormal(0, 3, 7_000)])
+    few = rng.integers(0, 5, 30_000).astype(float)
+    df = spark.createDataFrame([("big", float(v)) for v in big] + [("few", v) for v in few.tolist()] + [("one", 3.0)], "g string, v double").repartition(7)
+    probs = (0.0, 0.001, 0.33, 0.5, 0.9, 0.9999, 1.0)
+    for ranked in (1_000_000, 20):  # counted at once, or narrowed down
+        got = {r["g"]: r["q"] for r in exact_quantiles(df, "v", probs, by=["g"], ranked=ranked).collect()}
+        assert np.allclose(got["big"], np.quantile(big, probs), rtol=1e-12) and np.allclose(got["few"], np.quantile(few, probs))
+        assert got["one"] == [3.0] * len(probs)
