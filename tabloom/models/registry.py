@@ -11,8 +11,9 @@ from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.regression import DecisionTreeRegressor
 
 from tabloom.models.adaboost import AdaBoost
+from tabloom.models.boosting import SymmetricBoosting
 from tabloom.models.grown import GrownTree
-from tabloom.models.margins import KERNEL_DEFAULTS, CalibratedMargins, GradientBoosting, SupportVectorMachine
+from tabloom.models.margins import KERNEL_DEFAULTS, CalibratedMargins, SupportVectorMachine
 from tabloom.models.neighbours import NearestNeighbours
 from tabloom.models.network import NeuralNetwork
 
@@ -87,7 +88,7 @@ def get_model(name: str, settings: Mapping | None = None, columns: Columns | Non
     if kind == "AdaBoostClassifier":
         return AdaBoost(c.classes, s.get("n_estimators", 50), s.get("learning_rate", 1.0), **own)
     if kind == "CatBoostClassifier":
-        return GradientBoosting(c.classes, s.get("iterations", 100), s.get("learning_rate", 0.1), s.get("depth", 6), **own)
+        return SymmetricBoosting(c.classes, s.get("iterations", 100), s.get("learning_rate", 0.1), s.get("depth", 6), features=c.features, label=c.label)
     if kind == "LogisticClassifier":
         return LogisticRegression(**io, family="auto", regParam=s.get("reg_param", 0.0))
     return NeuralNetwork(

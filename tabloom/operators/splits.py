@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabloom.functions.expressions import half_even, order_key
-from tabloom.operators.ranks import RANK_LIMIT, cut_keys, cuts_passed
+from tabloom.operators.ranks import RANK_LIMIT, cut_keys, cuts_passed, even_cuts, stratum_cuts_passed
 
 
 def _listed(ids: str | Sequence[str]) -> list[str]:
@@ -73,13 +73,12 @@ def kfold(
     if k < 1:
         raise ValueError("k must be at least 1")
 
-    def ranks(n: int) -> list[int]:
-        sizes = [n // k + (1 if i < n % k else 0) for i in range(k)]
-        return [sum(sizes[: i + 1]) for i in range(k - 1)]
-
     ids = _listed(ids)
-    cuts = cut_keys(df, ids, seed, ranks, strata, rank_limit)
-    marked = cuts_passed(df, ids, seed, cuts, strata, "_passed")
+    if strata:
+        marked = stratum_cuts_passed(df, ids, seed, even_cuts(df, ids, seed, k, strata, rank_limit), strata, "_passed")
+    else:
+        cuts = cut_keys(df, ids, seed, lambda n: [i * (n // k) + min(i, n % k) for i in range(1, k)], rank_limit)
+        marked = cuts_passed(df, ids, seed, cuts, "_passed")
     return marked.withColumn(name, F.col("_passed") + 1).drop("_passed")
 
 

@@ -11,6 +11,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tabloom.models.boosting import ordered_statistics
 from tabloom.models.registry import Columns, get_model
 from tabloom.operators import popularity as P
 from tabloom.operators import profile as R
@@ -83,6 +84,15 @@ rule_query(
 rule_query("rule_network_early_stopping", "ANN", {"topology": [8], "max_epochs": 120, "validation_ratio": 0.2, "patience": 40})
 
 
+@query(f"""
+SELECT event_id, ROUND((COALESCE(SUM(value > 50) OVER w, 0) + 0.5) / (COUNT(value) OVER w + 1), 6) AS statistic FROM events
+WINDOW w AS (PARTITION BY event_type ORDER BY md5('{SEED}:' || event_id::VARCHAR) ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)""")
+def ordered_target_statistics(spark, folder):
+    """How often earlier events of the same type had a large value, in a random order."""
+    events = table(spark, folder, "events").select("event_id", "event_type", (F.col("value") > 50).cast("int").alias("large"))
+    return rounded(ordered_statistics(events, "event_type", "large", ["event_id"], SEED).select("event_id", "statistic"))
+
+
 @query(RULE_SQL)
 def rule_bagging(spark, folder):
     train, test = ruled(spark, folder)

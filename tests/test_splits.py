@@ -79,13 +79,25 @@ def test_sample_is_exact(spark, n, limit):
 def test_cut_keys_match_sorting(spark):
     from tabloom.functions.expressions import order_key
 
-    df = spark.range(2000).withColumn("s", F.col("id") % 3)
-    want = {}
-    for s in (0, 1, 2):
-        keys = sorted(r[0] for r in df.where(f"s = {s}").select(order_key(4, "id")).collect())
-        want[str(s)] = [keys[9], keys[499], keys[len(keys) - 1]]
-    got = cut_keys(df, ["id"], 4, lambda n: [10, 500, n], strata=["s"], rank_limit=20)
-    assert got == want
+    df = spark.range(2000)
+    keys = sorted(r[0] for r in df.select(order_key(4, "id")).collect())
+    assert cut_keys(df, ["id"], 4, lambda n: [10, 500, n, 0], rank_limit=20) == {"": [keys[9], keys[499], keys[-1], ""]}
+
+
+@pytest.mark.parametrize("limit", [20, 100_000])
+def test_folds_within_any_number_of_strata(spark, limit):
+    """3,000 strata of one to a few rows, one of a third of all rows and one without a name, as NTILE deals them."""
+    from tabloom.functions.expressions import order_key
+
+    kind = F.when(F.col("id") < 3000, F.lit(-1)).when(F.col("id") < 3020, F.lit(None)).otherwise(F.col("id") % 3000)
+    df = spark.range(9000).withColumn("s", kind).repartition(6)
+    ranked = df.withColumn("k", order_key(5, "id")).createOrReplaceTempView("strata_rows")
+    wanted = {r["id"]: r["fold"] for r in spark.sql("SELECT id, NTILE(4) OVER (PARTITION BY s ORDER BY k) AS fold FROM strata_rows").collect()}
+    got = X.kfold(df, "id", 4, 5, ["s"], rank_limit=limit)
+    assert ranked is None and got.columns == ["id", "s", "fold"]
+    assert {r["id"]: r["fold"] for r in got.collect()} == wanted
+    assert X.kfold(df.limit(0), "id", 4, 5, ["s"]).count() == 0
+    assert {r["fold"] for r in X.kfold(df, "id", 1, 5, ["s"]).collect()} == {1}
 
 
 @pytest.mark.parametrize("limit", [1, 50, 10_000_000])
