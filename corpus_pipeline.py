@@ -33,7 +33,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The records with size, shard and slot."""
+    """The records with size, shard and slot; where a column has such a name already, the result has an underscore behind it."""
     return sharding.sharded(docs, columns=docs.columns)
 
 

@@ -6,14 +6,15 @@ aggregation, and totals enter as scalar subqueries instead of joins.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.stat import Correlation
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tabloom.functions.blocks import summed
 from tabloom.functions.expressions import (
     as_column,
     equal_width_bin,
@@ -23,7 +24,7 @@ from tabloom.functions.expressions import (
 )
 from tabloom.operators.columns import find_column, find_columns, numeric_columns
 from tabloom.operators.quantiles import column_quantiles, exact_quantiles, null_safe_join
-from tabloom.operators.scaling import impute_mean, sample_columns
+from tabloom.operators.scaling import sample_columns
 from tabloom.session import keep, stored
 
 # Name parts of representative features.
@@ -312,6 +313,10 @@ def feature_by_category(df: DataFrame, category: str, features: Sequence[str] |
 # --- correlation ---------------------------------------------------------------------------
 
 
+COLUMN_BLOCK = 64  # columns that are multiplied with as many others at a time
+PRODUCTS = 4_000_000  # sums of products that a task holds; more columns take more scans
+
+
 def correlation_pairs(
     df: DataFrame,
     columns: Sequence[str] | None = None,
@@ -324,25 +329,88 @@ def correlation_pairs(
 ) -> DataFrame:
     """Pairs of columns with a strong Pearson correlation, strongest first.
 
-    Missing values become column means first. Pairs whose last name token is equal are left
-    out when ``distinct_suffix`` is set. The driver sees the p x p matrix only.
+    Missing values count as column means. Pairs whose last name token is equal are left out when
+    ``distinct_suffix`` is set. Columns are multiplied in blocks: tasks add up the products of their rows, the sums
+    of two blocks meet in one task, and only pairs above the threshold leave it. The driver sees two numbers a column.
     """
     columns = list(columns) if columns is not None else numeric_columns(df)
     if max_columns is not None:
         columns = sample_columns(columns, max_columns, seed)
-    filled = impute_mean(df.select(*columns), columns)
-    vectors = VectorAssembler(inputCols=columns, outputCol="_v").transform(filled).select("_v")
-    matrix = Correlation.corr(vectors, "_v").first()[0].toArray()
-    pairs = []
-    for i, a in enumerate(columns):
-        for j in range(i + 1, len(columns)):
-            b, r = columns[j], float(matrix[i, j])
-            if r != r or abs(r) <= above:
-                continue
-            if distinct_suffix and a.split(separator)[-1] == b.split(separator)[-1]:
-                continue
-            pairs.append((a, b, r))
-    pairs.sort(key=lambda t: (-abs(t[2]), t[0], t[1]))
-    return df.sparkSession.createDataFrame(
-        pairs[:top] if top is not None else pairs, "feature1 string, feature2 string, correlation double"
-    )
+    width = len(columns)
+    schema = "feature1 string, feature2 string, correlation double"
+    if width < 2:
+        return df.sparkSession.createDataFrame([], schema)
+    data = keep(df.select(F.array(*[F.col(c).cast("double") for c in columns]).alias("x")))
+
+    def matrix(batch):
+        return batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, width)
+
+    def add_sums(total, batch):
+        import numpy
+
+        x = matrix(batch)
+        total[:width] += numpy.nansum(x, axis=0)
+        total[width:] += (~numpy.isnan(x)).sum(axis=0)
+
+    sums = summed(data, add_sums, 2 * width)
+    means = sums[:width] / np.maximum(sums[width:], 1)
+
+    def centred(batch):
+        import numpy
+
+        return numpy.nan_to_num(matrix(batch) - means, nan=0.0)
+
+    def add_squares(total, batch):
+        total += (centred(batch) ** 2).sum(axis=0)
+
+    scale = np.sqrt(summed(data, add_squares, width))
+    scale[scale <= 1e-12 * np.abs(means) * np.sqrt(sums[width:])] = np.nan  # constant but for rounding
+    names, tails = list(columns), [c.split(separator)[-1] for c in columns]
+    starts = list(range(0, width, COLUMN_BLOCK))
+    blocks = [(i, j) for n, i in enumerate(starts) for j in starts[n:]]
+    many = max(1, PRODUCTS // COLUMN_BLOCK**2)
+
+    def products(chosen):
+        def run(batches):
+            import numpy
+            import pyarrow
+
+            total = {b: 0.0 for b in chosen}
+            for batch in batches:
+                z = centred(batch)
+                for i, j in chosen:
+                    total[i, j] = total[i, j] + z[:, i : i + COLUMN_BLOCK].T @ z[:, j : j + COLUMN_BLOCK]
+            rows = [(i, j, numpy.ascontiguousarray(v).tobytes()) for (i, j), v in total.items() if not isinstance(v, float)]
+            yield pyarrow.RecordBatch.from_arrays(
+                [pyarrow.array([r[k] for r in rows], t) for k, t in enumerate(("int32", "int32", "binary"))], ["i", "j", "v"]
+            )
+
+        return run
+
+    def strong(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import numpy
+        import pyarrow
+
+        i, j = (k.as_py() for k in key)
+        shape = min(COLUMN_BLOCK, width - i), min(COLUMN_BLOCK, width - j)
+        total = numpy.zeros(shape)
+        for batch in batches:
+            for v in batch.column(batch.schema.get_field_index("v")).to_pylist():
+                total += numpy.frombuffer(v).reshape(shape)
+        with numpy.errstate(divide="ignore", invalid="ignore"):
+            r = total / scale[i : i + shape[0], None] / scale[None, j : j + shape[1]]
+        rows = [
+            (names[i + a], names[j + b], float(r[a, b]))
+            for a, b in zip(*numpy.nonzero(numpy.abs(r) > above))
+            if i + a < j + b and not (distinct_suffix and tails[i + a] == tails[j + b])
+        ]
+        yield pyarrow.RecordBatch.from_arrays([pyarrow.array([x[k] for x in rows], t) for k, t in enumerate(("string", "string", "float64"))], ["feature1", "feature2", "correlation"])
+
+    parts = None
+    for at in range(0, len(blocks), many):
+        part = data.mapInArrow(products(blocks[at : at + many]), "i int, j int, v binary")
+        parts = part if parts is None else parts.unionByName(part)
+    pairs = stored(parts.groupBy("i", "j").applyInArrow(strong, schema), "correlations")
+    data.unpersist()
+    ordered = pairs.orderBy(F.desc(F.abs("correlation")), "feature1", "feature2")
+    return ordered if top is None else ordered.limit(top)

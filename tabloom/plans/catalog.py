@@ -735,3 +735,14 @@ def fold_metric_agg(spark, folder):
     df = ruled_events(spark, folder).withColumns({"config": F.col("user_id") % 2, "fold": F.col("user_id") % 3})
     folds = M.accuracy(df, "label", "prediction", ["config", "fold"])
     return rounded(M.fold_summary(folds, ["config"], ["accuracy"]))
+
+
+@query("""
+WITH n AS (SELECT DISTINCT lower(replace(p_name, ' ', '_')) AS name FROM part)
+SELECT name, string_split(name, '_')[-1] AS token,
+  array_to_string(list_transform(string_split(replace(name, '_', ' '), ' '), lambda w: upper(w[1]) || w[2:]), ' ') AS title FROM n""")
+def group_titles(spark, folder):
+    """Last token and title of names that are joined by underscores."""
+    name = F.lower(F.replace("p_name", F.lit(" "), F.lit("_")))
+    names = table(spark, folder, "part").select(name.alias("name")).distinct()
+    return names.select("name", E.last_token("name").alias("token"), E.group_title("name").alias("title"))

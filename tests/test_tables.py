@@ -161,6 +161,28 @@ def test_correlation_skips_equal_suffix(spark):
     assert pairs == {("a_mean", "c_std"), ("b_mean", "c_std")}
 
 
+@pytest.mark.parametrize("block,products", [(64, 4_000_000), (3, 9)])
+def test_correlation_of_many_columns(spark, monkeypatch, block, products):
+    import numpy as np
+
+    monkeypatch.setattr(R, "COLUMN_BLOCK", block)
+    monkeypatch.setattr(R, "PRODUCTS", products)
+    rng = np.random.default_rng(4)
+    base = rng.normal(size=(120, 4))
+    x = np.column_stack([base, base @ rng.normal(size=(4, 7)) + 0.3 * rng.normal(size=(120, 7)), np.full(120, 0.1)])
+    x[rng.random(x.shape) < 0.05] = np.nan
+    rows = [[None if np.isnan(v) else float(v) for v in row] for row in x]
+    df = spark.createDataFrame(rows, ", ".join(f"c{i}_t{i} double" for i in range(12))).repartition(5)
+    filled = np.where(np.isnan(x), np.nanmean(x, axis=0), x)
+    r = np.corrcoef(filled[:, :11].T)
+    wanted = {(f"c{i}_t{i}", f"c{j}_t{j}"): r[i, j] for i in range(11) for j in range(i + 1, 11) if abs(r[i, j]) > 0.5}
+    got = R.correlation_pairs(df, above=0.5, top=None).collect()
+    assert {(g["feature1"], g["feature2"]): pytest.approx(g["correlation"]) for g in got} == wanted and len(wanted) > 5
+    assert [abs(g["correlation"]) for g in got] == sorted((abs(g["correlation"]) for g in got), reverse=True)
+    assert len(R.correlation_pairs(df, above=0.5, top=2).collect()) == 2
+    assert R.correlation_pairs(df.select("c0_t0")).collect() == []
+
+
 def test_popularity_report(spark):
     df = spark.range(400).select(
         F.col("id").alias("track_id"),
