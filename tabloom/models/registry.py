@@ -13,6 +13,7 @@ from pyspark.ml.regression import DecisionTreeRegressor
 from tabloom.models.adaboost import AdaBoost
 from tabloom.models.boosting import SymmetricBoosting
 from tabloom.models.grown import GrownTree
+from tabloom.models.kernel_dual import ExactKernelMachine
 from tabloom.models.margins import KERNEL_DEFAULTS, CalibratedMargins, SupportVectorMachine
 from tabloom.models.neighbours import NearestNeighbours
 from tabloom.models.network import NeuralNetwork
@@ -72,6 +73,10 @@ def get_model(name: str, settings: Mapping | None = None, columns: Columns | Non
     own = {"features": c.features, "label": c.label, "seed": c.seed}
     if kind in ("SVC", "SVCProbabilistic"):
         chosen = {k: s.get(k, v) for k, v in KERNEL_DEFAULTS.items()}
+        if s.get("exact"):
+            limits = {k: s[k] for k in ("max_iter", "tol", "working") if k in s}
+            svm = ExactKernelMachine(c.classes, features=c.features, label=c.label, **chosen, **limits)
+            return svm if kind == "SVC" else CalibratedMargins(svm, c.key, c.label, seed=c.seed)
         svm = SupportVectorMachine(c.classes, components=s.get("components", 200), max_iter=s.get("max_iter", 200), tol=s.get("tol", 1e-3), **chosen, **own)
         return svm if kind == "SVC" else CalibratedMargins(svm, c.key, c.label, seed=c.seed)
     if kind == "DecisionTreeClassifier":

@@ -316,6 +316,7 @@ model_query("svm_linear", documents_by_language, "SVC", {"kernel": "linear", "co
 model_query("svm_rbf", documents_by_quality, "SVC", {"kernel": "rbf", "gamma": 0.1})
 model_query("svm_sigmoid", documents_by_quality, "SVC", {"kernel": "sigmoid", "gamma": 0.02, "coef0": 0.1})
 model_query("svm_poly", documents_by_quality, "SVC", {"kernel": "poly", "gamma": 0.1, "coef0": 1.0})
+model_query("svm_exact", documents_by_quality, "SVC", {"exact": True, "kernel": "rbf", "gamma": 0.1})
 model_query("svm_probabilistic", documents_by_quality, "SVCProbabilistic", {"kernel": "linear"})
 model_query("decision_tree", documents_by_language, "DecisionTreeClassifier", {"max_depth": 7, "min_samples_leaf": 20})
 model_query("random_forest", documents_by_language, "RandomForestClassifier", {"n_trees": 20, "max_depth": 10})

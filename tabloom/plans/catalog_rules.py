@@ -67,6 +67,8 @@ rule_query("rule_svm_linear", "SVC", {"kernel": "linear", "cost": 10.0})
 rule_query("rule_svm_rbf", "SVC", {"kernel": "rbf", "gamma": 0.5, "cost": 10.0})
 rule_query("rule_svm_poly", "SVC", {"kernel": "poly", "gamma": 1.0, "coef0": 1.0, "cost": 10.0})
 rule_query("rule_svm_sigmoid", "SVC", {"kernel": "sigmoid", "gamma": 0.1, "coef0": 0.1, "cost": 10.0})
+rule_query("rule_svm_exact", "SVC", {"exact": True, "kernel": "rbf", "gamma": 0.5, "cost": 10.0})
+rule_query("rule_svm_exact_sigmoid", "SVC", {"exact": True, "kernel": "sigmoid", "gamma": 0.1, "coef0": 0.1, "cost": 10.0})
 rule_query("rule_svm_probabilistic", "SVCProbabilistic", {"kernel": "linear", "cost": 10.0})
 rule_query("rule_decision_tree", "DT", {"max_depth": 5})
 rule_query("rule_random_forest", "RF", {"n_trees": 15, "max_depth": 6})
