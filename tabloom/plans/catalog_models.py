@@ -18,6 +18,7 @@ from tabloom.operators import reduction as D
 from tabloom.operators import splits as X
 from tabloom.operators.metrics import confusion_counts, multiclass_metrics
 from tabloom.operators.scaling import ZScore
+from tabloom.operators.wide_components import WidePrincipalComponents
 from tabloom.plans import approaches as A
 from tabloom.plans import evaluation as V
 from tabloom.plans import report as RP
@@ -206,6 +207,32 @@ def explained_variance(spark, folder):
     return rounded(D.explained_variance(two_features(spark, folder)))
 
 
+@query(f"""
+WITH {TWO_FEATURES} SELECT 1 AS component, ROUND(l1 / (l1 + l2), 6) AS share, ROUND(l1 / (l1 + l2), 6) AS cumulative FROM l
+UNION ALL SELECT 2, ROUND(l2 / (l1 + l2), 6), 1.0 FROM l""")
+def wide_variance(spark, folder):
+    df = two_features(spark, folder)
+    return rounded(WidePrincipalComponents(k=2).fit(df).variance(df))
+
+
+@query("""
+WITH e AS (SELECT vec_id, UNNEST(embedding)::DOUBLE AS x, UNNEST(range(len(embedding))) AS i FROM embeddings),
+c AS (SELECT a.i, b.i AS j, COVAR_SAMP(a.x, b.x) AS v FROM e a JOIN e b USING (vec_id) GROUP BY 1, 2)
+SELECT COUNT(*) FILTER (i = j)::INT AS components, ROUND(SUM(v * v) / POW(SUM(v) FILTER (i = j), 2), 8) AS squares FROM c""")
+def wide_spectrum(spark, folder):
+    """All shares of variance of the vectors: their number and the sum of their squares, which equals that of the covariances."""
+    shares = WidePrincipalComponents(variance_ratio=1.0).fit(vectors(spark, folder)).shares
+    return spark.createDataFrame([(len(shares), round(float(shares @ shares), 8))], "components int, squares double")
+
+
+@query()
+def wide_scores(spark, folder):
+    """Scores of all vectors on their ten leading components."""
+    df = vectors(spark, folder)
+    scored = WidePrincipalComponents(k=10).fit(df).transform(df)
+    return scored.select("vec_id", F.posexplode(vector_to_array("scores")).alias("component", "score"))
+
+
 @query()
 def pca_variance_ratio(spark, folder):
     """Scores of all vectors on the fewest components that explain 70 % of the variance."""
