@@ -47,7 +47,7 @@ class WidePrincipalComponents(Estimator):
         vectors = df.select(self.features).where(F.col(self.features).isNotNull())
         s = Summarizer.metrics("count", "mean", "variance").summary(F.col(self.features))
         # grouped by a constant, an empty table has no group; the summary itself fails on no rows
-        found = vectors.groupBy(F.lit(0)).agg(s.alias("s")).select("s.count", "s.mean", "s.variance").first()
+        found = vectors.groupBy(F.lit("all")).agg(s.alias("s")).select("s.count", "s.mean", "s.variance").first()
         if found is None:
             raise ValueError("no rows to fit components on")
         mean, total = found["mean"].toArray(), found["variance"].toArray().sum() * (found["count"] - 1)
