@@ -243,6 +243,18 @@ def approach_binary_reduced(spark, folder):
     return experiment(spark, folder, A.APPROACHES["binary_reduced"], ("DT", "CatBoost"), TWO)
 
 
+@query(experiment_sql(("DecisionTreeClassifier",)))
+def rule_approach_pca(spark, folder):
+    """The named component experiment: 70 % of the variance keep all event types apart."""
+    return experiment(spark, folder, A.APPROACHES["binary_pca"], ("DT",), TWO)
+
+
+@query(experiment_sql(("DecisionTreeClassifier", "KNeighborsClassifier"), True))
+def rule_approach_lda(spark, folder):
+    """The named discriminant experiment: two directions keep three classes apart."""
+    return experiment(spark, folder, A.APPROACHES["lda"], ("DT", "KNN"))
+
+
 @query(experiment_sql(("DecisionTreeClassifier",)))
 def approach_minmax(spark, folder):
     return experiment(spark, folder, A.Approach("minmax", normalize="minmax", folds=2), ("DT",))
