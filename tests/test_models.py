@@ -346,3 +346,21 @@ def test_discriminant_leaves_unlabelled_rows_out(spark):
     far = frame(spark, rng.normal(500, 100, (30, 2)), np.zeros(30)).withColumn("label", F.lit(None).cast("double"))
     one, both = (LinearDiscriminants().fit(d).weights for d in (df, df.unionByName(far)))
     assert np.allclose(one, both)
+
+
+def test_neighbours_of_many_equal_rows_stay_small():
+    """Ties among equal training rows are cut to the k that can win before they are measured."""
+    import tracemalloc
+
+    import numpy as np
+
+    from tabloom.models.neighbours import _nearest
+
+    points, queries = np.tile(np.eye(5), (10_000, 1)), np.tile(np.eye(5), (60, 1))
+    tracemalloc.start()
+    rows, columns, distance = _nearest(5)(queries, points)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 60e6
+    assert (columns.reshape(300, 5) == np.tile(np.arange(5)[:, None] + 5 * np.arange(5), (60, 1))).all()
+    assert (rows == np.repeat(np.arange(300), 5)).all() and (distance == 0).all()
