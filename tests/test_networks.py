@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from test_models import blobs, frame, parts, share
 
 from tabloom.functions.blocks import packed
-from tabloom.models.adam import TEST, TRAIN, VALIDATION, Network, confusion_together, train_together
+from tabloom.models.adam import TEST, TRAIN, VALIDATION, Network, confusion_together, network_blocks, train_together
 from tabloom.models.network import NeuralNetwork
 from tabloom.models.registry import Columns, get_model
 from tabloom.operators.splits import holdout, stratified_kfold
@@ -111,3 +111,20 @@ def test_equal_rows_are_dealt_evenly(spark):
     rows = spark.range(1000).select(array_to_vector(F.array(F.lit(1.0))).alias("features"), F.lit(0.0).alias("label"))
     sizes = dealt(rows, 1000, 1, 8).groupBy(F.spark_partition_id()).count().collect()
     assert len(sizes) == 8 and max(r["count"] for r in sizes) < 200
+
+
+def test_equal_rows_are_one_row_that_counts_more(spark):
+    """An epoch passes over different rows only, with the losses, weights and counts of all of them."""
+    x = np.repeat(np.eye(3), [500, 300, 200], axis=0)
+    rows = frame(spark, x, np.repeat([0, 1, 1], [500, 300, 200])).repartition(3)
+    roles = F.array(F.when(F.col("id") % 5 == 0, VALIDATION).when(F.col("id") % 5 == 1, TEST).otherwise(TRAIN))
+    plain, weighed = (Network(3, [4], 2, 0.05, max_epochs=5, seed=2) for _ in range(2))
+    every = packed(rows, "features", "label", roles)
+    different = network_blocks(rows, "features", "label", roles, [weighed])
+    assert different.agg(F.sum("n")).first()[0] == 9
+    train_together(every, [plain])
+    train_together(different, [weighed])
+    assert np.allclose(plain.best, weighed.best, atol=1e-12)
+    assert np.allclose(np.array(plain.history, float), np.array(weighed.history, float), atol=1e-12)
+    assert (confusion_together(every, [plain]) == confusion_together(different, [weighed])).all()
+    assert confusion_together(different, [weighed]).sum() == 200
