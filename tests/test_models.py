@@ -364,3 +364,19 @@ def test_neighbours_of_many_equal_rows_stay_small():
     assert peak < 60e6
     assert (columns.reshape(300, 5) == np.tile(np.arange(5)[:, None] + 5 * np.arange(5), (60, 1))).all()
     assert (rows == np.repeat(np.arange(300), 5)).all() and (distance == 0).all()
+
+
+def test_kernel_features_are_not_carried_by_the_rows(spark):
+    """A pass maps its blocks anew: what is dealt out and cached is as wide as the inputs."""
+    from tabloom.models.margins import SupportVectorMachine
+
+    x, y = blobs(2, 60)
+    rows = frame(spark, x, y)
+    spark.catalog.clearCache()
+    fitted = SupportVectorMachine(2, "rbf", gamma=0.5, components=300).fit(rows)
+    scored = fitted.transform(rows)
+    assert share(scored) > 0.9
+    assert set(scored.columns) - set(rows.columns) == {"prediction", "rawPrediction"}
+    assert fitted.fitted.weights.shape == (1, 300)
+    plan = scored._jdf.queryExecution().optimizedPlan().toString()
+    assert "_kernel" not in plan
