@@ -380,3 +380,18 @@ def test_kernel_features_are_not_carried_by_the_rows(spark):
     assert fitted.fitted.weights.shape == (1, 300)
     plan = scored._jdf.queryExecution().optimizedPlan().toString()
     assert "_kernel" not in plan
+
+
+def test_clusters_are_fitted_over_blocks_of_rows(spark, monkeypatch):
+    """One product a block instead of a distance a row and centre, with the same clusters."""
+    from pyspark.ml.clustering import KMeans
+
+    from tabloom.operators import reduction
+
+    solvers, fit = [], KMeans.fit
+    monkeypatch.setattr(KMeans, "fit", lambda self, df: solvers.append(self.getSolver()) or fit(self, df))
+    x, y = np.repeat(np.eye(3) * 10, [20, 30, 40], axis=0), np.zeros(90)
+    found = reduction.kmeans_report(frame(spark, x, y), "id", k=3, max_iter=20, seed=1, project=False)
+    assert solvers == ["block"]
+    assert sorted(r["n"] for r in found["sizes"].collect()) == [20, 30, 40]
+    assert found["fit"].first()["cost"] < 1e-9
