@@ -395,3 +395,27 @@ def test_clusters_are_fitted_over_blocks_of_rows(spark, monkeypatch):
     assert solvers == ["block"]
     assert sorted(r["n"] for r in found["sizes"].collect()) == [20, 30, 40]
     assert found["fit"].first()["cost"] < 1e-9
+
+
+def test_block_of_neighbours_is_not_merged_from_whole_shares(spark, monkeypatch):
+    """Only rows near the wanted hashes are ordered, and the block is that of ordering all; copies of a key leave it whole."""
+    def block(model):
+        return sorted(zip(model.block["_tid"].to_pylist(), model.block["_ty"].to_pylist()))
+
+    rows = spark.range(6000).select(
+        "id", array_to_vector(F.array(F.col("id").cast("double"))).alias("features"), (F.col("id") % 3).cast("double").alias("label")
+    ).repartition(8)
+    asked, smallest = [], NearestNeighbours._smallest
+
+    def noted(self, rows, share, near):
+        asked.append(max(near.values()))
+        return smallest(self, rows, share, near)
+
+    monkeypatch.setattr(NearestNeighbours, "_smallest", noted)
+    estimator = NearestNeighbours(3, 3, max_train_rows=300, seed=5)
+    found = block(estimator.fit(rows))
+    keys = [(F.md5(F.concat_ws(":", F.lit("5"), F.col("id").cast("string")))), F.col("id")]
+    wanted = [(r["id"], r["label"]) for c in (0.0, 1.0, 2.0) for r in rows.where(F.col("label") == c).orderBy(*keys).limit(100).collect()]
+    assert found == sorted(wanted) and asked == [pytest.approx(196 / 2000)]
+    copies = rows.withColumn("id", F.lit(7).cast("long"))
+    assert len(block(estimator.fit(copies))) == 300
