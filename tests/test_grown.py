@@ -5,8 +5,10 @@ import pytest
 from pyspark.sql import functions as F
 from test_models import blobs, frame, share
 
+from tabloom.models.adaboost import cut_points
 from tabloom.models.grown import GrownTree, grown_trees
 from tabloom.models.registry import Columns, get_model
+from tabloom.session import TASKS_PER_CORE
 
 
 def plain_tree(x, y, classes, depth, least):
@@ -84,3 +86,23 @@ def test_rows_without_label_or_weight(spark):
     assert (one.feature, one.threshold) == (both.feature, both.threshold)
     empty = grown_trees(rows, [F.lit(0)], 2, 3, 1, "features", "label")[0]
     assert empty.feature == [-1]
+
+
+def test_cut_points_merge_few_sketches(spark):
+    """One task merges the sketches, so their number must not follow the number of partitions."""
+    context = spark.sparkContext
+    most = TASKS_PER_CORE * context.defaultParallelism
+    rows = spark.range(4_000).select(F.array(F.col("id").cast("double"), (F.col("id") % 7).cast("double")).alias("x")).repartition(2 * most)
+    context.setJobGroup("cut points", "")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        cuts = cut_points(rows, 2, 8)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        context.setLocalProperty("spark.jobGroup.id", None)
+    tracker = context.statusTracker()
+    stages = [s for j in tracker.getJobIdsForGroup("cut points") for s in tracker.getJobInfo(j).stageIds]
+    tasks = [tracker.getStageInfo(s).numTasks for s in stages if tracker.getStageInfo(s)]
+    assert tasks and max(t for t in tasks) <= most
+    assert [len(c) for c in cuts] == [7, 6]
+    assert np.abs(cuts[0] - 500 * np.arange(1, 8)).max() <= 2
