@@ -110,3 +110,16 @@ def test_an_unfinished_fit_warns(spark, rings):
         ExactKernelMachine(2, "rbf", 5.0, 0.7, tol=1e-6, max_iter=1, working=4).fit(frame(spark, *rings))
     with pytest.raises(ValueError, match="laplace"):
         ExactKernelMachine(2, "laplace")
+
+
+def test_a_partition_offers_no_more_rows_than_are_taken(spark):
+    """However many blocks a partition holds, it offers ``working / 2`` rows of a side, the worst of all its blocks."""
+    x, y = [(i, i % 3) for i in range(3_000)], [i % 2 for i in range(3_000)]
+    fit = ExactKernelMachine(2, kernel="linear", working=8)
+    state = fit._blocks(frame(spark, x, y)).coalesce(1)
+    assert state.count() > 1
+    few, every = fit._offers(state), ExactKernelMachine(2, kernel="linear", working=8_000)._offers(state)
+    assert few.groupBy("machine", "up").count().agg(F.max("count")).first()[0] == 4
+    for up in (True, False):
+        best = [(r["block"], r["place"]) for r in every.where(F.col("up") == up).orderBy(F.desc("score"), "block", "place").take(4)]
+        assert best == [(r["block"], r["place"]) for r in few.where(F.col("up") == up).orderBy(F.desc("score"), "block", "place").collect()]
