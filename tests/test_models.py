@@ -366,6 +366,41 @@ def test_neighbours_of_many_equal_rows_stay_small():
     assert (rows == np.repeat(np.arange(300), 5)).all() and (distance == 0).all()
 
 
+def test_neighbours_at_equal_distances_stay_small():
+    """Different training rows that all are equally far from a query are measured a part at a time."""
+    import itertools
+    import tracemalloc
+
+    import numpy as np
+
+    from tabloom.models.neighbours import _nearest
+
+    points = np.array([[float(i in ones) for i in range(16)] for ones in itertools.combinations(range(16), 8)])
+    queries = np.linspace(0, 1, 100)[:, None] * np.ones(16)
+    tracemalloc.start()
+    rows, columns, distance = _nearest(7)(queries, points)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 150e6
+    assert (columns.reshape(100, 7) == np.arange(7)).all() and (rows == np.repeat(np.arange(100), 7)).all()
+    assert np.abs(distance.reshape(100, 7) - np.sqrt(8 * (queries[:, :1] ** 2 + (1 - queries[:, :1]) ** 2))).max() < 1e-8
+
+
+def test_block_of_neighbours_sends_rows_that_can_be_chosen(spark):
+    """Of equal training rows only the first k go to the workers, and votes and neighbours are those of all rows."""
+    import numpy as np
+
+    from tabloom.models.neighbours import NearestNeighbours
+
+    x = np.tile(np.eye(3), (50, 1))
+    train = frame(spark, x, np.tile([0, 1, 1], 50).astype(float))
+    model = NearestNeighbours(2, 2).fit(train)
+    assert model.points.shape == (6, 3)
+    assert share(model.transform(train)) == 1
+    found = model.neighbours(train.where("id < 6")).orderBy("id", "rank").collect()
+    assert [r["neighbour"] for r in found] == [0, 3, 1, 4, 2, 5] * 2
+
+
 def test_kernel_features_are_not_carried_by_the_rows(spark, monkeypatch):
     """A pass maps its blocks anew: what is dealt out and cached is as wide as the inputs."""
     from tabloom.models import squared_hinge

@@ -154,3 +154,22 @@ def test_quantiles_of_groups_larger_than_the_sketch(spark):
         got = {r["g"]: r["q"] for r in exact_quantiles(df, "v", probs, by=["g"], ranked=ranked).collect()}
         assert np.allclose(got["big"], np.quantile(big, probs), rtol=1e-12) and np.allclose(got["few"], np.quantile(few, probs))
         assert got["one"] == [3.0] * len(probs)
+
+
+def test_split_starts_no_python_on_executors(spark):
+    """Tables that the driver makes for a split are Arrow tables; a list of rows would be read by Python processes."""
+    seen, make = [], type(spark).createDataFrame
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(type(spark), "createDataFrame", lambda self, data, *a, **k: seen.append(out := make(self, data, *a, **k)) or out)
+        df = spark.range(300).withColumn("s", F.col("id") % 3)
+        marked = X.stratified_kfold(X.holdout(df, "id", 0.2, 1), "id", "s", 2, 1)
+        assert marked.groupBy("split").count().orderBy("split").collect() == [("test", 60), ("train", 240)]
+    assert seen and all("ExistingRDD" not in d._jdf.queryExecution().executedPlan().toString() for d in seen)
+
+
+def test_driver_table(spark):
+    from tabloom.session import driver_table
+
+    empty = driver_table(spark, [], "a string, b bigint")
+    assert empty.dtypes == [("a", "string"), ("b", "bigint")] and empty.count() == 0
+    assert driver_table(spark, [("x", None), (None, 2**40)], "a string, b bigint").collect() == [("x", None), (None, 2**40)]
