@@ -456,3 +456,42 @@ def test_block_of_neighbours_is_not_merged_from_whole_shares(spark, monkeypatch)
     assert found == sorted(wanted) and asked == [pytest.approx(196 / 2000)]
     copies = rows.withColumn("id", F.lit(7).cast("long"))
     assert len(block(estimator.fit(copies))) == 300
+
+def test_votes_come_from_all_training_rows(spark):
+    """No training row is left out, however many there are: each one finds itself."""
+    rows = spark.range(60_000).select(
+        "id", array_to_vector(F.array(F.col("id").cast("double"), F.lit(1.0))).alias("features"), F.pmod(F.xxhash64("id"), F.lit(3)).cast("double").alias("label")
+    )
+    assert share(NearestNeighbours(3, 1).fit(rows).transform(rows)) == 1.0
+
+
+def test_points_with_very_many_rows_are_cut_to_the_k_that_can_win(spark):
+    """Rows of few points are one block, made of the rows with the smallest keys of all."""
+    rows = spark.range(60_000, numPartitions=8).select(
+        (60_000 - F.col("id")).alias("id"), array_to_vector(F.array((F.col("id") % 2).cast("double"))).alias("features"), (F.col("id") >= 59_990).cast("double").alias("label")
+    )
+    model = NearestNeighbours(2, 3).fit(rows)
+    assert sorted(model.block["_tid"].to_pylist()) == [1, 2, 3, 4, 5, 6]
+    assert model.transform(rows).where("prediction = 1").count() == 60_000
+
+
+def test_neighbours_beyond_one_block_take_any_keys(spark, monkeypatch):
+    """Cells give what a block gives: keys of queries and rows may repeat or be missing, labels may be missing."""
+    from tabloom.models import neighbours
+
+    rng = np.random.default_rng(7)
+    x, q = np.round(rng.normal(size=(400, 3)), 1), np.round(rng.normal(size=(60, 3)), 1)
+    x[:90] = x[0]
+    train = frame(spark, x, rng.integers(0, 3, 400)).withColumn("label", F.when(F.col("id") % 7 > 0, F.col("label")))
+    train = train.withColumn("id", F.when(F.col("id") % 50 != 9, F.col("id")))
+    asked = frame(spark, np.vstack([q, q[:5]]), np.zeros(65)).withColumn("id", F.when(F.col("id") % 9 > 0, F.col("id") % 20)).withColumn("own", F.lit("x"))
+    answers = []
+    for most in (50_000, 100):
+        monkeypatch.setattr(neighbours, "BLOCK_ROWS", most)
+        monkeypatch.setattr(neighbours, "CELL_ROWS", 30)
+        model = NearestNeighbours(3, 5, block_rows=20).fit(train)
+        scored = model.transform(asked)
+        assert scored.columns == ["id", "features", "label", "own", "prediction", "probability"]
+        near = [(r["id"], r["rank"], round(r["distance"], 6), r["neighbour"]) for r in model.neighbours(asked).collect()]
+        answers.append((sorted(map(repr, near)), sorted(map(repr, scored.select("id", "features", "prediction", "probability").collect()))))
+    assert len(answers[0][0]) == 65 * 5 and len(answers[0][1]) == 65 and answers[0] == answers[1]
