@@ -6,8 +6,11 @@ each sign, the largest weight in every block of ``BLOCK`` documents. For a query
 every score in a block. Blocks are taken in the order of their bounds and scored through the forward index,
 until the next bound falls below the query's k-th score.
 
-Each range first answers its own queries, which gives them a k-th score to start from. Then batches of
-queries meet all other ranges in an equality join on the range number, and the k best of all ranges are merged.
+Each range first answers its own queries, which gives them a k-th score to start from. Then ranges are put in groups
+and every group gets all batches of queries, once for the group. Both are sorted by group and streamed, the ranges
+first: a task holds the ranges of one group (at most ``GROUP_VALUES`` numbers) and some hundred queries. A range raises
+the k-th scores for those after it. No side is broadcast: the planner's estimate knows nothing of the copies. The
+k best of all groups are merged.
 
 Edge cases: vectors that are null or hold a null or a non-finite component take no part; shorter vectors count
 as ending in zeros; a null id is a candidate but no query, and comes last among ties; a repeated id is another
@@ -25,13 +28,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabloom.llm.common import written
+from tabloom.llm.common import batches_of, written
 
 K = 5
 EVERY = 50
 SCALE = 256.0
 BLOCK = 64
 RANGE = 4096
+GROUP_VALUES = 4_000_000
+TOGETHER = 1024  # queries that search a range at once
 NULL_ID = np.iinfo(np.int64).max
 
 
@@ -152,6 +157,50 @@ def _hits(query_range, places, query_ids, number, ids, nulls, positions, scores)
     )
 
 
+def _others(k: int):
+    """Hits of all queries in the ranges of a group, from a stream of ranges followed by batches of queries; a query's own range is left out."""
+
+    def others(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, ranges, waiting, rows = None, [], [], 0
+
+        def answered() -> Iterator[pa.RecordBatch]:
+            nonlocal waiting, rows
+            width = max(w[1].shape[1] for w in waiting)
+            home = np.concatenate([np.full(len(w[1]), w[0]) for w in waiting])
+            queries = np.concatenate([np.pad(w[1], ((0, 0), (0, width - w[1].shape[1]))) for w in waiting])
+            places, ids, kth = (np.concatenate([w[i] for w in waiting]) for i in (2, 3, 4))
+            for number, nulls, here in ranges:
+                at = np.flatnonzero(home != number)
+                if not len(at):
+                    continue
+                found, positions, scores = here.search(queries[at], kth[at], None, k)
+                if len(found):
+                    yield _hits(home[at][found], places[at], ids[at], found, here.ids, nulls, positions, scores)
+                    counts = np.bincount(found, minlength=len(at))
+                    full = np.flatnonzero(counts >= k)
+                    kth[at[full]] = np.maximum(kth[at[full]], scores[np.cumsum(counts)[full] - 1])
+            waiting, rows = [], 0
+
+        for batch in parts:
+            for r in batch.to_pylist():
+                if r["group"] != group:
+                    if rows:
+                        yield from answered()
+                    group, ranges = r["group"], []
+                if not r["asks"]:
+                    ranges.append((r["number"], r["nulls"], Index(r["ids"], r["width"], r["vectors"])))
+                    continue
+                places, ids = np.frombuffer(r["places"], np.int64), np.frombuffer(r["query_ids"], np.int64)
+                waiting.append((r["number"], np.frombuffer(r["vectors"]).reshape(len(ids), r["width"]), places, ids, np.frombuffer(r["kth"])))
+                rows += len(ids)
+                if rows >= TOGETHER:
+                    yield from answered()
+        if rows:
+            yield from answered()
+
+    return others
+
+
 def top_k(vectors: DataFrame, every: int = EVERY, k: int = K) -> DataFrame:
     """The contract's columns: query_id, rank, vec_id, score."""
     index = ranges(integers(vectors))
@@ -181,7 +230,9 @@ def top_k(vectors: DataFrame, every: int = EVERY, k: int = K) -> DataFrame:
                 )
 
     columns = "home bigint, query_width int, places binary, query_ids binary, queries binary, kth binary, number binary, found binary, found_null binary, scores binary"
-    batches = written(index.mapInArrow(own, columns), "vector-queries")
+    spark = vectors.sparkSession
+    with batches_of(spark, 16):  # a packed range has some megabytes
+        batches = written(index.mapInArrow(own, columns), "vector-queries")
 
     def unpack(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in parts:
@@ -191,23 +242,22 @@ def top_k(vectors: DataFrame, every: int = EVERY, k: int = K) -> DataFrame:
                 found, scores = np.frombuffer(r["found"], np.int64), np.frombuffer(r["scores"], np.float64)
                 yield _hits(np.full(len(number), r["home"]), places, ids, number, found, r["found_null"], np.arange(len(number)), scores)
 
-    def others(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, here = None, None
-        for batch in parts:
-            for r in batch.to_pylist():
-                if r["number"] != last:
-                    last, here = r["number"], Index(r["ids"], r["width"], r["vectors"])
-                places, ids = np.frombuffer(r["places"], np.int64), np.frombuffer(r["query_ids"], np.int64)
-                queries = np.frombuffer(r["queries"], np.float64).reshape(len(ids), r["query_width"])
-                number, positions, scores = here.search(queries, np.frombuffer(r["kth"], np.float64), None, k)
-                if len(number):
-                    yield _hits(np.full(len(number), r["home"]), places, ids, number, here.ids, r["nulls"], positions, scores)
-
-    # every batch of queries goes to every other range: packed rows, a few hundred queries by 4,096 vectors each
-    last = index.agg(F.max("part")).first()[0] or 0
-    sent = batches.select("home", "query_width", "places", "query_ids", "queries", "kth", F.explode(F.sequence(F.lit(0), F.lit(last))).alias("part"))
-    met = index.join(sent, "part").where("home != number").drop("part").sortWithinPartitions("number")
-    hits = batches.mapInArrow(unpack, HITS).unionByName(met.mapInArrow(others, HITS))
+    # as many ranges a group as a task may hold, but groups for all cores
+    size = index.agg(F.count("*").alias("n"), F.max("width").alias("width")).first()
+    most = max(1, GROUP_VALUES // (RANGE * max(size["width"] or 1, 1)))
+    groups = max(1, -(-size["n"] // max(1, min(most, size["n"] // (4 * spark.sparkContext.defaultParallelism)))))
+    # ranges that lie near each other go to different groups, so that the work is even, whether of one part or of several
+    none = F.lit(None).cast("binary")
+    turn = F.pmod(F.col("part") + F.col("number") % (1 << 20), F.lit(groups)).cast("int")
+    held = index.select(turn.alias("group"), F.lit(False).alias("asks"), "number", "width", "ids", "nulls", "vectors", *[none.alias(c) for c in ("places", "query_ids", "kth")])
+    asked = batches.select(
+        F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("group"), F.lit(True).alias("asks"), F.col("home").alias("number"), F.col("query_width").alias("width"),
+        none.alias("ids"), none.alias("nulls"), F.col("queries").alias("vectors"), "places", "query_ids", "kth",
+    )
+    met = held.unionByName(asked).repartition(4 * groups, "group").sortWithinPartitions("group", "asks", "number")
+    with batches_of(spark, 16):
+        far = written(met.mapInArrow(_others(k), HITS), "vector-hits")
+    hits = batches.mapInArrow(unpack, HITS).unionByName(far)
     best = Window.partitionBy("range", "place").orderBy(F.desc("score"), "is_null", "vec_id")
     ranked = hits.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", F.when(~F.col("is_null"), F.col("vec_id")).alias("vec_id"), "score")

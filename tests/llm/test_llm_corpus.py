@@ -120,6 +120,23 @@ def test_top_k_over_several_ranges(spark):
     assert {tuple(r) for r in topk.top_k(df).collect()} == wanted
 
 
+def test_top_k_sends_no_copies_of_queries_through_the_driver(spark):
+    """Queries are copied to every group of ranges, which the planner's estimate leaves out: neither side may be broadcast."""
+    rng = np.random.default_rng(3)
+    vectors = rng.normal(0, 0.3, (9000, 4)).astype(np.float32)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<float>")
+    plans, write = [], topk.written
+
+    def noted(part, name):
+        plans.append(part._jdf.queryExecution().executedPlan().toString())
+        return write(part, name)
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(topk, "written", noted)
+        plans.append(topk.top_k(df)._jdf.queryExecution().executedPlan().toString())
+    assert len(plans) > 2 and not any("Broadcast" in p for p in plans)
+
+
 def test_search_stops_before_hopeless_blocks():
     vectors = np.concatenate([np.full((topk.BLOCK, 2), 9.0), np.full((topk.BLOCK, 2), 1.0)])
     index = topk.Index(np.arange(len(vectors)).tobytes(), 2, vectors.astype("<f8").tobytes())
