@@ -495,3 +495,27 @@ def test_neighbours_beyond_one_block_take_any_keys(spark, monkeypatch):
         near = [(r["id"], r["rank"], round(r["distance"], 6), r["neighbour"]) for r in model.neighbours(asked).collect()]
         answers.append((sorted(map(repr, near)), sorted(map(repr, scored.select("id", "features", "prediction", "probability").collect()))))
     assert len(answers[0][0]) == 65 * 5 and len(answers[0][1]) == 65 and answers[0] == answers[1]
+
+
+def test_linear_machines_of_parts_share_their_passes(three, monkeypatch):
+    """Folds, costs and calibration parts are dealt out and scanned once, with the machines of separate fits."""
+    from tabloom.models import squared_hinge
+    from tabloom.models.margins import CalibratedMargins, SupportVectorMachine
+
+    train, _ = parts(three)
+    df = stratified_kfold(train, "id", "label", 3, 2)
+    configs = [("SVM", {"kernel": "linear", "cost": c}) for c in (0.1, 10.0)]
+    names = ["a", "b", "c"]
+    alone = V.fold_counts(df, configs, Columns(3), names, make=lambda *a: get_model(*a))
+    calls, deal = [], squared_hinge.dealt
+    monkeypatch.setattr(squared_hinge, "dealt", lambda *a, **more: calls.append(1) or deal(*a, **more))
+    together = V.fold_counts(df, configs, Columns(3), names)
+    assert len(calls) == 1
+    assert sorted(map(tuple, together.collect())) == sorted(map(tuple, alone.collect()))
+    machine = SupportVectorMachine(3, "linear")
+    calibrated = CalibratedMargins(machine, "id")
+    one, other = calibrated.fit_parts(train, [F.col("id") % 4 > 0, F.lit(True)])
+    assert len(calls) == 2
+    for model, rows in ((one, train.where("id % 4 > 0")), (other, train)):
+        fitted = machine.fit(rows).fitted
+        assert np.allclose(model.fitted.fitted.weights, fitted.weights, atol=1e-3) and np.allclose(model.fitted.fitted.intercepts, fitted.intercepts, atol=1e-3)
