@@ -495,6 +495,8 @@ def test_neighbours_beyond_one_block_take_any_keys(spark, monkeypatch):
         near = [(r["id"], r["rank"], round(r["distance"], 6), r["neighbour"]) for r in model.neighbours(asked).collect()]
         answers.append((sorted(map(repr, near)), sorted(map(repr, scored.select("id", "features", "prediction", "probability").collect()))))
     assert len(answers[0][0]) == 65 * 5 and len(answers[0][1]) == 65 and answers[0] == answers[1]
+    repeated = frame(spark, np.vstack([q, q[:5]]), np.zeros(65)).withColumn("id", F.col("id") % 60)
+    assert NearestNeighbours(3, 5, block_rows=20, exact=True).fit(train).neighbours(repeated).count() == 60 * 5
 
 
 def test_linear_machines_of_parts_share_their_passes(three, monkeypatch):
